@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlattice.functions.measures import divide
@@ -51,3 +51,30 @@ def top_shares(frame: DataFrame, value: str, shares: dict[str, float]) -> DataFr
         *(divide(held(p), F.max("_total")).alias(name) for name, p in shares.items()),
         F.max("_total").alias("total"),
     )
+
+
+def rank_in_slices(frame: DataFrame, group: list[str], piece: Column, order: list[str]) -> DataFrame:
+    """Add ``_rank`` (1-based position in the group) and ``_group_rows``.
+
+    ``piece`` cuts a group into bounded many slices that follow ``order``.  Only
+    slice sizes are ranked across a group; rows are ranked inside their slice.
+    """
+    sliced = frame.withColumn("_slice", piece)
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (
+        sliced.groupBy(*group, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            *group,
+            "_slice",
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+            F.sum("_n").over(whole).alias("_group_rows"),
+        )
+    )
+    inside = Window.partitionBy(*group, "_slice").orderBy(*order)
+    return (
+        sliced.join(sizes, [*group, "_slice"])
+        .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
+        .drop("_offset", "_slice")
+    )

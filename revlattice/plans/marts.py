@@ -345,6 +345,7 @@ def attempt_outcomes(t) -> DataFrame:
     """Payment attempts reduced to one row per invoice, in one pass."""
     succeeded = F.col("attempt_status") == "succeeded"
     first = F.col("attempt_number") == 1
+    earliest = F.min(F.struct("attempt_number", "payment_attempt_id", "attempt_status", "attempt_at"))
     return t["payment_attempts"].groupBy("invoice_id").agg(
         F.count("payment_attempt_id").alias("attempt_count"),
         F.min("attempt_at").alias("first_attempt_at"),
@@ -353,8 +354,8 @@ def attempt_outcomes(t) -> DataFrame:
         F.bool_or(succeeded).alias("eventually_succeeded"),
         F.max("attempt_number").alias("maximum_attempt_number"),
         F.max(F.when(first, F.col("payment_method_id"))).alias("first_payment_method_id"),
-        F.min_by("attempt_status", "attempt_number").alias("first_attempt_status"),
-        F.min_by("attempt_at", "attempt_number").alias("first_numbered_attempt_at"),
+        earliest["attempt_status"].alias("first_attempt_status"),
+        earliest["attempt_at"].alias("first_numbered_attempt_at"),
     )
 
 
