@@ -42,8 +42,14 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _only(value: Column, when: Column | None) -> Column:
-    return value if when is None else F.when(when, value)
+Condition = Column | str | None
+
+
+def _only(value: Column, when: Condition) -> Column:
+    """``value`` where ``when`` (a column or SQL text) holds."""
+    if when is None:
+        return value
+    return F.when(F.expr(when) if isinstance(when, str) else when, value)
 
 
 def divide(numerator: Column, denominator: Column) -> Column:
@@ -51,34 +57,34 @@ def divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def count(name: str, when: Column | None = None, of: Column | str | None = None) -> Measure:
+def count(name: str, when: Condition = None, of: Column | str | None = None) -> Measure:
     """Rows, rows meeting ``when``, or non-null values of ``of``."""
     value = F.lit(1) if of is None else _col(of)
     return Measure(name, (F.count(_only(value, when)),), (F.sum,), lambda n: n)
 
 
-def count_keys(name: str, when: Column | None = None) -> Measure:
+def count_keys(name: str, when: Condition = None) -> Measure:
     """Distinct join keys with a row (meeting ``when``); for ``summarise_through`` only."""
     return Measure(
         name, (F.max(_only(F.lit(1), when)),), (F.sum,), lambda n: F.coalesce(n, F.lit(0)).cast("bigint")
     )
 
 
-def total(name: str, value: Column | str, when: Column | None = None, empty: int | None = None) -> Measure:
+def total(name: str, value: Column | str, when: Condition = None, empty: int | None = None) -> Measure:
     """Sum; NULL over no rows unless ``empty`` gives another value."""
     close = (lambda s: s) if empty is None else (lambda s: F.coalesce(s, F.lit(empty)))
     return Measure(name, (F.sum(_only(_col(value), when)),), (F.sum,), close)
 
 
-def highest(name: str, value: Column | str, when: Column | None = None) -> Measure:
+def highest(name: str, value: Column | str, when: Condition = None) -> Measure:
     return Measure(name, (F.max(_only(_col(value), when)),), (F.max,), lambda m: m)
 
 
-def lowest(name: str, value: Column | str, when: Column | None = None) -> Measure:
+def lowest(name: str, value: Column | str, when: Condition = None) -> Measure:
     return Measure(name, (F.min(_only(_col(value), when)),), (F.min,), lambda m: m)
 
 
-def mean(name: str, value: Column | str, when: Column | None = None, unit: int = 1) -> Measure:
+def mean(name: str, value: Column | str, when: Condition = None, unit: int = 1) -> Measure:
     """Average of the non-null values, in multiples of ``unit``."""
     picked = _only(_col(value), when)
     return Measure(
@@ -109,7 +115,7 @@ def rate(name: str, numerator: Measure, denominator: Measure) -> Measure:
     return combine(name, (numerator, denominator), divide)
 
 
-def share(name: str, when: Column) -> Measure:
+def share(name: str, when: Column | str) -> Measure:
     """Rows meeting ``when`` over all rows."""
     return rate(name, count("hits", when), count("rows"))
 

@@ -11,7 +11,7 @@ from revlattice.plans.core import billed_invoices
 from revlattice.plans.marts import invoice_outcomes
 from revlattice.plans.product import PLACE
 
-UNPAID = F.col("invoice_status").isin("overdue", "open")
+UNPAID = "invoice_status in ('overdue', 'open')"
 
 
 def _places(t) -> DataFrame:

@@ -406,7 +406,7 @@ def account_health_score(t) -> DataFrame:
     )
 
 
-def experiment_assign(t, eligibility: dict[str, Column] | None = None, floor: int = 80, fraction: float = 0.35) -> DataFrame:
+def experiment_assign(t, eligibility: dict[str, str] | None = None, floor: int = 80, fraction: float = 0.35) -> DataFrame:
     """Balanced assignment of a hash-ordered sample of eligible accounts per experiment.
 
     The order is a digest of experiment and account, so it is stable and spreads
@@ -418,7 +418,7 @@ def experiment_assign(t, eligibility: dict[str, Column] | None = None, floor: in
     listed = experiments.agg(F.collect_list(F.struct("experiment_id", "end_date"))).scalar()
     eligible = accounts.select("*", F.inline(listed)).where(F.col("created_at").cast("date") <= F.col("end_date"))
     for experiment, rule in (eligibility or {}).items():
-        eligible = eligible.where((F.col("experiment_id") != experiment) | rule)
+        eligible = eligible.where((F.col("experiment_id") != experiment) | F.expr(rule))
     digest = F.md5(F.concat_ws("|", "experiment_id", F.col("account_id").cast("string")))
     ranked = rank_in_slices(
         eligible.withColumn("_digest", digest), ["experiment_id"], F.substring("_digest", 1, 3), ["_digest", "account_id"]

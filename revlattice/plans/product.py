@@ -22,7 +22,7 @@ from revlattice.plans.marts import account_month
 from revlattice.plans.revenue import PAYING
 
 PLACE = ["month_start", "region_id", "country_code", "segment"]
-USING = F.col("active_users") > 0
+USING = "active_users > 0"
 
 
 def product_adoption(t) -> DataFrame:

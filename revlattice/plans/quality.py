@@ -187,94 +187,55 @@ def _any(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def business_rules() -> list[tuple[Check, Column]]:
-    """Rules on one table; a row fails when the predicate is true, unknown counts as passing.
+def _rule(check_id: str, table: str, details: str) -> Check:
+    return Check(check_id, table, "business_rule", details)
+
+
+BUSINESS_RULES = (
+    _rule("subscriptions.date_order", "subscriptions", "Trial start cannot be after paid subscription start."),
+    _rule("subscriptions.end_after_start", "subscriptions", "Subscription end cannot precede subscription start."),
+    _rule(
+        "subscription_items.valid_interval",
+        "subscription_items",
+        "Subscription item effective end must not precede effective start.",
+    ),
+    _rule("subscription_items.non_negative_mrr", "subscription_items", "Recurring item MRR cannot be negative."),
+    _rule("invoices.arithmetic", "invoices", "Invoice subtotal plus tax must reconcile to total."),
+    _rule("invoice_lines.non_negative", "invoice_lines", "Invoice line totals cannot be negative."),
+    _rule("payment_attempts.positive_amount", "payment_attempts", "Payment attempt amount must be positive."),
+    _rule("payments.positive_amount", "payments", "Captured payment amount must be positive."),
+    _rule("usage.non_negative", "account_usage_daily", "Usage counts cannot be negative."),
+    _rule(
+        "work_orders.completed_chronology", "work_orders", "Completed work orders cannot complete before creation."
+    ),
+    _rule("support.resolution_chronology", "support_tickets", "Support tickets cannot resolve before creation."),
+    _rule("health.score_range", "account_health_history", "Account health score must be between 0 and 100."),
+    _rule("nps.score_range", "nps_responses", "NPS score must be between 0 and 10."),
+)
 
-    The two score ranges are stated the other way round: an unknown score fails.
-    """
 
-    def rule(check_id: str, table: str, details: str, bad: Column) -> tuple[Check, Column]:
-        return Check(check_id, table, "business_rule", details), bad
+def business_predicates() -> dict[str, Column]:
+    """When a row fails each rule; unknown counts as passing.
 
+    The two score ranges are stated the other way round: an unknown score fails.
+    """
     outside = lambda column, low, high: ~F.coalesce(to_number(column).between(low, high), F.lit(False))
     arithmetic = to_number("subtotal_local") + to_number("tax_local") - to_number("total_local")
-    return [
-        rule(
-            "subscriptions.date_order",
-            "subscriptions",
-            "Trial start cannot be after paid subscription start.",
-            _moment("trial_start_date") > _moment("subscription_start_date"),
-        ),
-        rule(
-            "subscriptions.end_after_start",
-            "subscriptions",
-            "Subscription end cannot precede subscription start.",
-            _moment("ended_date") < _moment("subscription_start_date"),
-        ),
-        rule(
-            "subscription_items.valid_interval",
-            "subscription_items",
-            "Subscription item effective end must not precede effective start.",
-            _moment("effective_end") < _moment("effective_start"),
-        ),
-        rule(
-            "subscription_items.non_negative_mrr",
-            "subscription_items",
-            "Recurring item MRR cannot be negative.",
-            to_number("mrr_eur") < 0,
-        ),
-        rule(
-            "invoices.arithmetic",
-            "invoices",
-            "Invoice subtotal plus tax must reconcile to total.",
-            F.abs(arithmetic) > _tolerance(),
-        ),
-        rule(
-            "invoice_lines.non_negative",
-            "invoice_lines",
-            "Invoice line totals cannot be negative.",
-            to_number("line_total_local") < 0,
-        ),
-        rule(
-            "payment_attempts.positive_amount",
-            "payment_attempts",
-            "Payment attempt amount must be positive.",
-            to_number("amount_local") <= 0,
-        ),
-        rule(
-            "payments.positive_amount",
-            "payments",
-            "Captured payment amount must be positive.",
-            to_number("amount_eur") <= 0,
-        ),
-        rule(
-            "usage.non_negative",
-            "account_usage_daily",
-            "Usage counts cannot be negative.",
-            _any(to_number(c) < 0 for c in _USAGE),
-        ),
-        rule(
-            "work_orders.completed_chronology",
-            "work_orders",
-            "Completed work orders cannot complete before creation.",
-            _moment("completed_at") < _moment("created_at"),
-        ),
-        rule(
-            "support.resolution_chronology",
-            "support_tickets",
-            "Support tickets cannot resolve before creation.",
-            _moment("resolved_at") < _moment("created_at"),
-        ),
-        rule(
-            "health.score_range",
-            "account_health_history",
-            "Account health score must be between 0 and 100.",
-            outside("health_score", 0, 100),
-        ),
-        rule(
-            "nps.score_range", "nps_responses", "NPS score must be between 0 and 10.", outside("nps_score", 0, 10)
-        ),
-    ]
+    return {
+        "subscriptions.date_order": _moment("trial_start_date") > _moment("subscription_start_date"),
+        "subscriptions.end_after_start": _moment("ended_date") < _moment("subscription_start_date"),
+        "subscription_items.valid_interval": _moment("effective_end") < _moment("effective_start"),
+        "subscription_items.non_negative_mrr": to_number("mrr_eur") < 0,
+        "invoices.arithmetic": F.abs(arithmetic) > _tolerance(),
+        "invoice_lines.non_negative": to_number("line_total_local") < 0,
+        "payment_attempts.positive_amount": to_number("amount_local") <= 0,
+        "payments.positive_amount": to_number("amount_eur") <= 0,
+        "usage.non_negative": _any(to_number(c) < 0 for c in _USAGE),
+        "work_orders.completed_chronology": _moment("completed_at") < _moment("created_at"),
+        "support.resolution_chronology": _moment("resolved_at") < _moment("created_at"),
+        "health.score_range": outside("health_score", 0, 100),
+        "nps.score_range": outside("nps_score", 0, 10),
+    }
 
 
 def business_check(landing: Mapping[str, DataFrame], failing: Sequence[tuple[Check, Column]]) -> DataFrame:
@@ -286,7 +247,8 @@ def business_check(landing: Mapping[str, DataFrame], failing: Sequence[tuple[Che
 
 
 def business_rule_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
-    return business_check(landing, business_rules())
+    predicates = business_predicates()
+    return business_check(landing, [(rule, predicates[rule.check_id]) for rule in BUSINESS_RULES])
 
 
 def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -340,6 +302,10 @@ def gate(results: DataFrame) -> DataFrame:
     )
 
 
+def failures(results: DataFrame) -> DataFrame:
+    return results.where(~F.col("passed"))
+
+
 def integer_guard(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
     """Values of integer columns that are not numbers, or not whole."""
     results = []

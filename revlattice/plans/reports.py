@@ -328,3 +328,8 @@ def executive_summary(t, quality: DataFrame, first_month: Column, last_month: Co
         scalar(checks, "n").alias("quality_checks"),
         scalar(checks, "failed").alias("quality_failures"),
     )
+
+
+def top_countries(t, countries: int) -> DataFrame:
+    """Countries with the most revenue, largest first."""
+    return country_performance(t).orderBy(F.col("mrr_eur").desc(), "country_code").limit(countries)

@@ -10,7 +10,7 @@ from revlattice.operators.intervals import fill_month_gaps
 from revlattice.operators.ranking import top_shares
 from revlattice.plans.marts import account_month, account_mrr_in, active_movements, latest_month, mrr_movements
 
-PAYING = F.col("mrr_eur") > 0
+PAYING = "mrr_eur > 0"
 
 
 def movement_measures() -> list:
@@ -126,7 +126,7 @@ def mrr_by_segment(t) -> DataFrame:
 
 
 def add_on_attachment(t) -> DataFrame:
-    attached = (F.col("active_add_ons") > 0) & PAYING
+    attached = f"active_add_ons > 0 and {PAYING}"
     return summarise(
         account_month(t),
         ["month_start", "segment", "primary_plan_name"],
