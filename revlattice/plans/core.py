@@ -5,6 +5,8 @@ Every plan takes ``t``, a mapping from contract table name to DataFrame.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,12 +120,11 @@ ROW_COUNTED = (
 
 
 def table_row_counts(t, names) -> DataFrame:
-    """One row per table; each count reads no columns."""
-    counted = None
-    for name in names:
-        row = t[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        counted = row if counted is None else counted.unionByName(row)
-    return counted
+    """Rows per table, empty ones included; reads no columns and shuffles one row per task and table."""
+    named = [t[name].select(F.lit(name).alias("table_name")) for name in names]
+    counted = reduce(DataFrame.unionByName, named).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    listed = counted.sparkSession.createDataFrame([(name,) for name in names], "table_name string")
+    return counted.join(listed, "table_name", "right").fillna(0, ["row_count"])
 
 
 def source_row_counts(t) -> DataFrame:

@@ -56,7 +56,7 @@ def invoice_status(paid: Column, due: Column, as_of: Column) -> Column:
     return F.when(paid, "paid").when(due <= as_of, "overdue").otherwise("open")
 
 
-def clamp(value: Column, low: float, high: float) -> Column:
+def clamp(value: Column, low: int, high: int) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), value))
 
 
@@ -367,34 +367,30 @@ def account_health_score(t) -> DataFrame:
         .fillna(0)
         .join(accounts, "account_id")
     )
-    number = lambda c: F.col(c).cast("double")
+    # Scores are exact to four digits, so rounding and band limits do not depend on float noise.
+    exact = lambda c: F.col(c).cast("decimal(14,4)")
     usage = (
-        F.lit(10.0)
-        + F.lit(50.0) * number("seat_utilisation")
-        + F.lit(3.0) * number("feature_breadth")
-        + F.lit(5.0) * F.least(number("automation_runs") / 20.0, F.lit(1.0))
+        10
+        + 50 * exact("seat_utilisation")
+        + 3 * exact("feature_breadth")
+        + F.least(exact("automation_runs") * F.lit(0.25).cast("decimal(4,2)"), F.lit(5))
     )
     support_score = (
-        F.lit(92.0)
-        - number("tickets") * 10.0
-        - number("escalated_tickets") * 20.0
-        + F.greatest(F.lit(0.0), number("avg_csat") - 3.0) * 4.0
+        92
+        - 10 * exact("tickets")
+        - 20 * exact("escalated_tickets")
+        + 4 * F.greatest(F.lit(0), exact("avg_csat") - 3)
     )
-    payment = (
-        F.lit(95.0)
-        - number("overdue_invoices") * 48.0
-        - number("failed_attempts") * 14.0
-        + number("recovered") * 8.0
-    )
-    relationship = F.lit(48.0) + F.when(F.col("sales_motion") != "self_service", 11.0).otherwise(0.0)
+    payment = 95 - 48 * exact("overdue_invoices") - 14 * exact("failed_attempts") + 8 * exact("recovered")
+    relationship = F.when(F.col("sales_motion") != "self_service", 59).otherwise(48)
     scores = {
         "usage_score": usage,
         "support_score": support_score,
         "payment_score": payment,
         "relationship_score": relationship,
     }
-    scored = known.select(*keys, *(clamp(s, 0.0, 100.0).alias(n) for n, s in scores.items()))
-    weighted = sum((F.lit(w) * F.col(n) for n, w in list(HEALTH_WEIGHTS.items())[1:]), F.lit(0.50) * F.col("usage_score"))
+    scored = known.select(*keys, *(clamp(s, 0, 100).cast("decimal(14,4)").alias(n) for n, s in scores.items()))
+    weighted = sum(F.lit(w).cast("decimal(4,2)") * F.col(n) for n, w in HEALTH_WEIGHTS.items())
     banded_rows = scored.withColumn("_score", weighted).withColumn("health_segment", health_band(F.col("_score")))
     return banded_rows.select(
         "account_id",

@@ -1,7 +1,8 @@
 """Data quality: contract checks on landed text, business rules, controls and reconciliations.
 
-All predicates on one table are counted in one scan and turned into rows with
-``stack``; keys are counted before they meet their parent.
+A table is scanned once for all its predicates and emits the ids of the checks
+a row fails, so sound rows cost a scan and nothing more.  Ids of all tables are
+counted in one shuffle; keys are counted before they meet their parent.
 """
 
 from __future__ import annotations
@@ -35,25 +36,32 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def failing_ids(frame: DataFrame, failing: Sequence[tuple[str, Column]]) -> DataFrame:
+    """One row per failed check of each row; sound rows give none."""
+    ids = F.array(*(F.when(bad, F.lit(name)) for name, bad in failing))
+    return frame.select(F.explode(ids).alias("check_id")).where(F.col("check_id").isNotNull())
 
 
-def _rows_from(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One-row frame with columns c0, c1, ... to one check row per column."""
-    cells = ", ".join(
-        f"{_quoted(c.check_id)}, {_quoted(c.table)}, {_quoted(c.kind)}, {_quoted(c.severity)}, c{i}, {_quoted(c.details)}"
-        for i, c in enumerate(checks)
-    )
-    rows = counts.select(
-        F.expr(f"stack({len(checks)}, {cells}) as (check_id, table_name, check_type, severity, failure_count, details)")
-    )
-    return rows.withColumn("passed", F.col("failure_count") == 0).select(*CHECK_COLUMNS)
+def _count_ids(frames: Sequence[DataFrame]) -> DataFrame:
+    """Failures per check over all frames, in one shuffle with map-side combine."""
+    return _union(frames).groupBy("check_id").agg(F.count(F.lit(1)).alias("failure_count"))
 
 
-def _count_failures(frame: DataFrame, failing: Sequence[tuple[Check, Column]]) -> DataFrame:
-    counts = frame.agg(*(F.count(F.when(bad, 1)).alias(f"c{i}") for i, (_, bad) in enumerate(failing)))
-    return _rows_from(counts, [check for check, _ in failing])
+def _described(counted: DataFrame, checks: Sequence[Check], how: str = "right") -> DataFrame:
+    """Complete (check_id, failure_count) rows with what each check declares.
+
+    Checks without a row have no failures; with ``how="inner"`` they are left out.
+    """
+    rows = [(c.check_id, c.table, c.kind, c.severity, c.details) for c in checks]
+    declared = counted.sparkSession.createDataFrame(
+        rows, "check_id string, table_name string, check_type string, severity string, details string"
+    )
+    return (
+        counted.join(declared, "check_id", how)
+        .withColumn("failure_count", F.coalesce("failure_count", F.lit(0)))
+        .withColumn("passed", F.col("failure_count") == 0)
+        .select(*CHECK_COLUMNS)
+    )
 
 
 def type_failure(column: str, logical: str) -> Column:
@@ -77,90 +85,115 @@ def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tupl
 
     A table without a declared column reports that and is not checked further.
     """
-    results, spark = [], None
-    declared: list[tuple] = []
+    frames, checks, declared = [], [], []
     for table in tables:
         contract = CONTRACTS[table]
         if table not in landing:
             declared.append((f"{table}.exists", table, "table_exists", "error", False, 1, "Table is missing."))
             continue
         frame = landing[table]
-        spark = frame.sparkSession
         missing = sorted(set(contract.columns) - set(frame.columns))
         unexpected = sorted(set(frame.columns) - set(contract.columns))
         details = f"Missing columns: {missing}; unexpected columns: {unexpected}"
         declared.append((f"{table}.columns", table, "schema", "error", not missing, len(missing), details))
         if missing:
             continue
-        failing = [
-            (
-                Check(f"{table}.{c}.type", table, "type", f"Column {c} conforms to logical type {kind}."),
-                type_failure(c, kind),
-            )
+        checks += [
+            Check(f"{table}.{c}.type", table, "type", f"Column {c} conforms to logical type {kind}.")
             for c, kind in contract.columns.items()
         ]
-        results.append(_count_failures(frame, failing))
-    spark = spark or results[0].sparkSession
+        # Text columns cannot fail, so only the others are looked at.
+        typed = [
+            (f"{table}.{c}.type", type_failure(c, kind)) for c, kind in contract.columns.items() if kind != "string"
+        ]
+        if typed:
+            frames.append(failing_ids(frame, typed))
     schema = (
         "check_id string, table_name string, check_type string, severity string, passed boolean,"
         " failure_count bigint, details string"
     )
-    return _union([spark.createDataFrame(declared, schema), *results])
+    if not frames:
+        return landing[tables[0]].sparkSession.createDataFrame(declared, schema)
+    counted = _described(_count_ids(frames), checks)
+    return counted.sparkSession.createDataFrame(declared, schema).unionByName(counted)
 
 
 def primary_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
-    """Rows with a null key part, and all rows that share their key with another."""
-    results = []
+    """Rows with a null key part, and all rows that share their key with another.
+
+    The keys of all tables are counted in one shuffle.
+    """
+    keyed, checks = [], []
     for table in tables:
         key = list(CONTRACTS[table].key)
         if table not in landing or set(key) - set(landing[table].columns):
             continue
-        has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
-        counts = (
-            landing[table]
-            .groupBy(*key)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(
-                F.coalesce(F.sum(F.when(has_null, F.col("n"))), F.lit(0)).alias("c0"),
-                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("c1"),
-            )
-        )
-        checks = [
+        parts = F.array(*(F.col(k).cast("string") for k in key))
+        keyed.append(landing[table].select(F.lit(table).alias("_table"), parts.alias("_key")))
+        checks += [
             Check(f"{table}.pk_not_null", table, "primary_key", f"Primary key {key} is not null."),
             Check(f"{table}.pk_unique", table, "primary_key", f"Primary key {key} is unique."),
         ]
-        results.append(_rows_from(counts, checks))
-    return _union(results)
+    has_null = F.exists("_key", lambda part: part.isNull())
+    per_key = _union(keyed).groupBy("_table", "_key").agg(F.count(F.lit(1)).alias("n"))
+    per_table = per_key.groupBy("_table").agg(
+        F.sum(F.when(has_null, F.col("n")).otherwise(0)).alias("nulls"),
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeats"),
+    )
+    counted = per_table.select(
+        F.inline(
+            F.array(
+                F.struct(F.concat("_table", F.lit(".pk_not_null")).alias("check_id"), F.col("nulls").alias("failure_count")),
+                F.struct(F.concat("_table", F.lit(".pk_unique")).alias("check_id"), F.col("repeats").alias("failure_count")),
+            )
+        )
+    )
+    return _described(counted, checks)
 
 
 def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
     """Rows whose reference has no parent; an empty child gives no check.
 
-    Child rows are counted per key before the join, so a frequent key is one row.
+    References of all tables meet all parent keys in one join.  Child rows are
+    counted per key before it, so a frequent key is one row.
     """
-    results = []
+    children, checks, parents = [], [], set()
     for table in tables:
-        for number, (column, parent) in enumerate(references_of(table), start=1):
-            if table not in landing or column not in landing[table].columns:
-                continue
-            parent_key = CONTRACTS[parent].key[0]
-            children = landing[table].groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-            check = Check(
-                f"{table}.fk_{number}",
-                table,
-                "foreign_key",
-                f"Foreign key ['{column}'] references {parent}(['{parent_key}']).",
+        present = [
+            (number, column, parent)
+            for number, (column, parent) in enumerate(references_of(table), start=1)
+            if table in landing and column in landing[table].columns
+        ]
+        if not present:
+            continue
+        cells = [
+            F.struct(
+                F.lit(f"{table}.fk_{number}").alias("check_id"),
+                F.lit(parent).alias("_parent"),
+                F.col(column).cast("string").alias("_key"),
             )
-            given = F.col("_key").isNotNull()
-            if parent in landing and parent_key in landing[parent].columns:
-                parents = landing[parent].select(F.col(parent_key).alias("_key")).distinct().withColumn("_found", F.lit(1))
-                children = children.join(parents, "_key", "left")
-                given = given & F.col("_found").isNull()
-            counts = children.agg(
-                F.coalesce(F.sum(F.when(given, F.col("n"))), F.lit(0)).alias("c0"), F.count(F.lit(1)).alias("keys")
-            ).where("keys > 0")
-            results.append(_rows_from(counts, [check]))
-    return _union(results)
+            for number, column, parent in present
+        ]
+        children.append(landing[table].select(F.inline(F.array(*cells))))
+        for number, column, parent in present:
+            parents.add(parent)
+            details = f"Foreign key ['{column}'] references {parent}(['{CONTRACTS[parent].key[0]}'])."
+            checks.append(Check(f"{table}.fk_{number}", table, "foreign_key", details))
+    known = _union(
+        [
+            landing[p].select(F.lit(p).alias("_parent"), F.col(CONTRACTS[p].key[0]).cast("string").alias("_key"))
+            for p in sorted(parents)
+            if p in landing and CONTRACTS[p].key[0] in landing[p].columns
+        ]
+    ).distinct()
+    per_key = _union(children).groupBy("check_id", "_parent", "_key").agg(F.count(F.lit(1)).alias("n"))
+    orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
+    counted = (
+        per_key.join(known.withColumn("_found", F.lit(1)), ["_parent", "_key"], "left")
+        .groupBy("check_id")
+        .agg(F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("failure_count"))
+    )
+    return _described(counted, checks, how="inner")
 
 
 def _moment(column: str) -> Column:
@@ -242,8 +275,9 @@ def business_check(landing: Mapping[str, DataFrame], failing: Sequence[tuple[Che
     """Count the rows failing each predicate, one scan per table."""
     by_table: dict[str, list] = {}
     for check, bad in failing:
-        by_table.setdefault(check.table, []).append((check, bad))
-    return _union([_count_failures(landing[table], rules) for table, rules in by_table.items()])
+        by_table.setdefault(check.table, []).append((check.check_id, bad))
+    counted = _count_ids([failing_ids(landing[table], rules) for table, rules in by_table.items()])
+    return _described(counted, [check for check, _ in failing])
 
 
 def business_rule_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -259,23 +293,21 @@ def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
     )
     gap = F.abs(to_number("subtotal_local") - F.coalesce("_lines", F.lit(0)))
     joined = landing["invoices"].select("invoice_id", "subtotal_local").join(lines, "invoice_id", "left")
-    return _count_failures(joined, [(check, gap > _tolerance())])
+    return _described(_count_ids([failing_ids(joined, [(check.check_id, gap > _tolerance())])]), [check])
 
 
 def payment_attempt_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
     """Payments without a succeeded attempt."""
     payments = landing["payments"].groupBy("payment_attempt_id").agg(F.count(F.lit(1)).alias("n"))
     succeeded = landing["payment_attempts"].where("attempt_status = 'succeeded'").select("payment_attempt_id")
-    counts = payments.join(succeeded, "payment_attempt_id", "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("c0")
-    )
     check = Check(
         "payments.successful_attempt",
         "payments",
         "reconciliation",
         "Every captured payment references a successful payment attempt.",
     )
-    return _rows_from(counts, [check])
+    counted = payments.join(succeeded, "payment_attempt_id", "left_anti").agg(F.sum("n").alias("failure_count"))
+    return _described(counted.withColumn("check_id", F.lit(check.check_id)), [check])
 
 
 def validate(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -308,23 +340,22 @@ def failures(results: DataFrame) -> DataFrame:
 
 def integer_guard(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
     """Values of integer columns that are not numbers, or not whole."""
-    results = []
+    frames = []
     for table in tables:
         columns = [c for c, kind in CONTRACTS[table].columns.items() if kind == "integer" and c in landing[table].columns]
         if not columns:
             continue
-        given = lambda c: F.nullif(F.trim(F.col(c)), F.lit("")).isNotNull()
-        counts = landing[table].agg(
-            *(F.count(F.when(given(c) & to_number(c).isNull(), 1)).alias(f"a{i}") for i, c in enumerate(columns)),
-            *(F.count(F.when(to_number(c) % 1 != 0, 1)).alias(f"b{i}") for i, c in enumerate(columns)),
-        )
-        cells = ", ".join(f"'{table}', '{c}', a{i}, b{i}" for i, c in enumerate(columns))
-        results.append(
-            counts.select(
-                F.expr(f"stack({len(columns)}, {cells}) as (table_name, column_name, non_numeric, non_integral)")
-            )
-        )
-    return _union(results).where("non_numeric + non_integral > 0")
+        cells = []
+        for c in columns:
+            given, number = F.nullif(F.trim(F.col(c)), F.lit("")).isNotNull(), to_number(c)
+            fault = F.when(given & number.isNull(), "non_numeric").when(number % 1 != 0, "non_integral")
+            cells.append(F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), fault.alias("fault")))
+        frames.append(landing[table].select(F.inline(F.array(*cells))).where(F.col("fault").isNotNull()))
+    return (
+        _union(frames)
+        .groupBy("table_name", "column_name")
+        .agg(*(F.count(F.when(F.col("fault") == kind, 1)).alias(kind) for kind in ("non_numeric", "non_integral")))
+    )
 
 
 @dataclass(frozen=True)
@@ -665,20 +696,21 @@ def _controls(t) -> list[tuple[str, DataFrame, list[Control]]]:
 
 def control_results(t) -> DataFrame:
     """Failing rows per control; a predicate that is unknown does not fail."""
-    results = []
+    frames, declared = [], []
     for table, frame, controls in _controls(t):
-        counts = frame.agg(*(F.count(F.when(k.bad, 1)).alias(k.control_id) for k in controls))
-        cells = ", ".join(
-            f"'{k.control_id}', '{table}', '{k.name}', {k.control_id}, '{k.severity}'" for k in controls
-        )
-        results.append(
-            counts.select(
-                F.expr(
-                    f"stack({len(controls)}, {cells}) as (control_id, table_name, control_name, failure_count, severity)"
-                )
-            )
-        )
-    return _union(results)
+        frames.append(failing_ids(frame, [(k.control_id, k.bad) for k in controls]))
+        declared += [(k.control_id, table, k.name, k.severity) for k in controls]
+    counted = _count_ids(frames)
+    named = counted.sparkSession.createDataFrame(
+        declared, "check_id string, table_name string, control_name string, severity string"
+    )
+    return counted.join(named, "check_id", "right").select(
+        F.col("check_id").alias("control_id"),
+        "table_name",
+        "control_name",
+        F.coalesce("failure_count", F.lit(0)).alias("failure_count"),
+        "severity",
+    )
 
 
 def quality_summary(t) -> DataFrame:

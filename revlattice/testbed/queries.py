@@ -602,9 +602,10 @@ query(
     f"""with answered as (
             select {month('r.response_date')} as month_start, a.region_id, a.country_code, a.segment, r.*
             from {{nps_responses}} r join {{accounts}} a using (account_id)),
+        counted as (select {PLACE}, comment_theme, count(*) as times from answered group by 1, 2, 3, 4, 5),
         themes as (
-            select {PLACE}, comment_theme, row_number() over (partition by {PLACE} order by count(*) desc, comment_theme) as place
-            from answered group by all)
+            select {PLACE}, comment_theme, row_number() over (partition by {PLACE} order by times desc, comment_theme) as place
+            from counted)
         select {PLACE}, s.responses, s.average_score, s.nps, themes.comment_theme as leading_comment_theme
         from (select {PLACE}, count(*) as responses, {avg('nps_score')} as average_score,
                      100.0::double * ({ratio(n("nps_group = 'promoter'"), 'count(*)')}
@@ -1440,15 +1441,15 @@ query(
                         else least(last_day(m.month_start), coalesce(s.ended_date, last_day(m.month_start))) end as service_period_end,
                    greatest(s.subscription_start_date, m.month_start) as invoice_date,
                    case when k.method_type = 'bank_transfer' then 30 else 3 end as due_days, c.currency_code,
-                   cast(case when s.billing_frequency = 'annual' then m.mrr_local * 12 else m.mrr_local end as decimal(18,4)) as subtotal,
+                   cast(case when s.billing_frequency = 'annual' then m.mrr_local * 12 else m.mrr_local end as decimal(20,4)) as subtotal,
                    cast(c.vat_rate as decimal(6,4)) as vat
             from {{mart:sub_month}} m join {{subscriptions}} s on s.subscription_id = m.subscription_id
             join {{accounts}} a on a.account_id = m.account_id join {{countries}} c on c.country_code = a.country_code
             left join {{payment_methods}} k on k.account_id = m.account_id
             where s.billing_frequency <> 'annual' or (({_MONTHS}) % 12 + 12) % 12 = 0),
         taxed as (
-            select *, invoice_date + due_days as due_date, cast(subtotal * vat as decimal(18,8)) as tax,
-                   cast(subtotal + subtotal * vat as decimal(18,8)) as total from billed)
+            select *, invoice_date + due_days as due_date, cast(subtotal * vat as decimal(24,8)) as tax,
+                   cast(subtotal + subtotal * vat as decimal(24,8)) as total from billed)
         select subscription_id, account_id, service_period_start, service_period_end, invoice_date, due_date, i.currency_code,
                round(subtotal, 2) as subtotal_local, round(tax, 2) as tax_local, round(total, 2) as total_local,
                round(cast(total * cast({_RATE} as decimal(12,6)) as decimal(34,12)), 2) as total_eur,
@@ -1520,22 +1521,19 @@ query(
                        bool_or(attempt_number > 1 and attempt_status = 'succeeded') as later_success
                 from {{payment_attempts}} group by 1) k using (invoice_id) group by 1, 2),
         parts as (
-            select u.account_id, u.month_start,
-                   10.0::double + 50.0::double * u.seat_utilisation + 3.0::double * u.feature_breadth
-                     + 5.0::double * least(u.automation_runs::double / 20.0, 1.0::double) as usage_raw,
-                   92.0::double - coalesce(s.tickets, 0) * 10.0::double - coalesce(s.escalated_tickets, 0) * 20.0::double
-                     + greatest(0.0::double, coalesce(s.avg_csat, 0) - 3.0::double) * 4.0::double as support_raw,
-                   95.0::double - coalesce(o.overdue, 0) * 48.0::double - coalesce(o.failed, 0) * 14.0::double
-                     + coalesce(o.recovered, 0) * 8.0::double as payment_raw,
-                   48.0::double + case when a.sales_motion <> 'self_service' then 11.0 else 0.0 end::double as relationship_raw
+            select u.account_id, u.month_start, u.seat_utilisation::decimal(14,4) as util, u.feature_breadth, u.automation_runs,
+                   coalesce(s.tickets, 0) as tickets, coalesce(s.escalated_tickets, 0) as escalated,
+                   coalesce(s.avg_csat, 0)::decimal(14,4) as csat, coalesce(o.overdue, 0) as overdue,
+                   coalesce(o.failed, 0) as failed, coalesce(o.recovered, 0) as recovered, a.sales_motion
             from {{mart:usage_summary}} u left join {{mart:support}} s using (account_id, month_start)
             left join outcomes o using (account_id, month_start) join {{accounts}} a using (account_id)),
         clamped as (
-            select account_id, month_start, greatest(0.0::double, least(100.0::double, usage_raw)) as u,
-                   greatest(0.0::double, least(100.0::double, support_raw)) as s,
-                   greatest(0.0::double, least(100.0::double, payment_raw)) as p,
-                   greatest(0.0::double, least(100.0::double, relationship_raw)) as r from parts),
-        scored as (select *, 0.5::double * u + 0.15::double * s + 0.2::double * p + 0.15::double * r as score from clamped),
+            select account_id, month_start,
+                   greatest(0, least(100, 10 + 50 * util + 3 * feature_breadth + least(automation_runs * 0.25, 5)))::decimal(14,4) as u,
+                   greatest(0, least(100, 92 - 10 * tickets - 20 * escalated + 4 * greatest(0, csat - 3)))::decimal(14,4) as s,
+                   greatest(0, least(100, 95 - 48 * overdue - 14 * failed + 8 * recovered))::decimal(14,4) as p,
+                   case when sales_motion <> 'self_service' then 59 else 48 end::decimal(14,4) as r from parts),
+        scored as (select *, 0.5 * u + 0.15 * s + 0.2 * p + 0.15 * r as score from clamped),
         banded as (select *, case when score >= 75 then 'healthy' when score >= 62 then 'watch' when score >= 45 then 'at_risk'
                               else 'critical' end as health_segment from scored)
         select account_id, month_start as health_month, round(score, 2) as health_score, health_segment,
