@@ -37,18 +37,18 @@ def subscription_item_monthly(t) -> DataFrame:
     )
 
 
-def _item_spans(t) -> DataFrame:
-    """Items with their first and last month and the name of their plan."""
+def _item_spans(t, plans: DataFrame) -> DataFrame:
+    """Items with their first and last month and what ``plans`` says of their plan."""
     is_plan = F.col("item_type") == "plan"
+    described = [c for c in plans.columns if c != "plan_id"]
     return (
         t["subscription_items"]
-        .join(t["plans"].select("plan_id", "plan_name"), "plan_id", "left")
+        .join(plans, "plan_id", "left")
         .select(
             "subscription_id",
             month_of("effective_start").alias("first_month"),
             month_of("effective_end").alias("last_month"),
-            F.when(is_plan, F.col("plan_id")).alias("plan_id"),
-            F.when(is_plan, F.col("plan_name")).alias("plan_name"),
+            *(F.when(is_plan, F.col(c)).alias(c) for c in ("plan_id", *described)),
             F.when(is_plan, F.col("quantity")).alias("paid_seats"),
             F.when(F.col("item_type") == "add_on", 1).otherwise(0).alias("active_add_ons"),
             "mrr_local",
@@ -72,26 +72,56 @@ def _span_measures(*plan_columns: str) -> list:
 
 
 def subscription_monthly(t) -> DataFrame:
-    spans = summarise(_item_spans(t), ["subscription_id", *_SPAN], _span_measures("plan_id", "plan_name"))
+    measures = _span_measures("plan_id", "plan_name")
+    items = _item_spans(t, t["plans"].select("plan_id", "plan_name"))
+    spans = summarise(items, ["subscription_id", *_SPAN], measures)
     owned = spans.join(t["subscriptions"].select("subscription_id", "account_id"), "subscription_id")
     months = expand_months(owned, "first_month", "last_month")
-    return summarise(months, ["month_start", "subscription_id", "account_id"], _span_measures("plan_id", "plan_name"))
+    return summarise(months, ["month_start", "subscription_id", "account_id"], measures)
+
+
+def _plan_places(t) -> DataFrame:
+    """Plans with the place of their name in alphabetical order.
+
+    The highest place stands for the last name, and a number keeps every
+    aggregation of the account marts hash-based, which text would not.
+    """
+    alphabetical = Window.orderBy(F.col("plan_name").asc_nulls_first())
+    return t["plans"].select("plan_id", "plan_name", F.dense_rank().over(alphabetical).alias("plan_place"))
+
+
+def _with_plan_name(t, frame: DataFrame) -> DataFrame:
+    names = _plan_places(t).groupBy("plan_place").agg(F.max("plan_name").alias("primary_plan_name"))
+    return frame.join(names, "plan_place", "left").drop("plan_place")
 
 
 def account_spans(t) -> DataFrame:
     """Recurring revenue per account and (first month, last month), partitioned by account."""
     owners = t["subscriptions"].select("subscription_id", "account_id")
-    owned = _item_spans(t).join(owners, "subscription_id").withColumnRenamed("plan_name", "primary_plan_name")
-    spans = summarise(owned, ["account_id", *_SPAN], _span_measures("primary_plan_name"))
+    owned = _item_spans(t, _plan_places(t).select("plan_id", "plan_place")).join(owners, "subscription_id")
+    spans = summarise(owned, ["account_id", *_SPAN], _span_measures("plan_place"))
     return spans.repartition("account_id")
 
 
-def account_mrr_monthly(t) -> DataFrame:
+def _account_months(t) -> DataFrame:
     """Sums of sums and maxima of maxima: the subscription level needs no pass of its own."""
     months = expand_months(account_spans(t), "first_month", "last_month")
-    return summarise(months, ["month_start", "account_id"], _span_measures("primary_plan_name")).select(
-        "month_start", "account_id", "mrr_eur", "mrr_local", "paid_seats", "active_add_ons", "primary_plan_name"
-    )
+    return summarise(months, ["month_start", "account_id"], _span_measures("plan_place"))
+
+
+_ACCOUNT_MONTH = (
+    "month_start",
+    "account_id",
+    "mrr_eur",
+    "mrr_local",
+    "paid_seats",
+    "active_add_ons",
+    "primary_plan_name",
+)
+
+
+def account_mrr_monthly(t) -> DataFrame:
+    return _with_plan_name(t, _account_months(t)).select(*_ACCOUNT_MONTH)
 
 
 def month_bounds(t) -> DataFrame:
@@ -112,15 +142,16 @@ def account_mrr_complete(t, first_month: Column | None = None, last_month: Colum
     if first_month is None or last_month is None:
         bounds = month_bounds(t)
         first_month, last_month = bounds.select("first_month").scalar(), bounds.select("last_month").scalar()
-    return fill_calendar(
-        account_mrr_monthly(t),
+    grid = fill_calendar(
+        _account_months(t),
         key="account_id",
         month="month_start",
         first_month=first_month,
         last_month=last_month,
         zero=("mrr_eur", "mrr_local", "paid_seats", "active_add_ons"),
-        blank=("primary_plan_name",),
+        blank=("plan_place",),
     )
+    return _with_plan_name(t, grid).select(*_ACCOUNT_MONTH)
 
 
 def movement_type(previous: Column, current: Column, active_before: Column) -> Column:

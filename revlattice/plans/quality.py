@@ -33,13 +33,25 @@ class Check:
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union in pairs, so that building n branches does not analyse n growing plans."""
+    frames = list(frames)
+    while len(frames) > 1:
+        paired = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = paired + frames[len(paired) * 2 :]
+    return frames[0]
 
 
-def failing_ids(frame: DataFrame, failing: Sequence[tuple[str, Column]]) -> DataFrame:
-    """One row per failed check of each row; sound rows give none."""
-    ids = F.array(*(F.when(bad, F.lit(name)) for name, bad in failing))
-    return frame.select(F.explode(ids).alias("check_id")).where(F.col("check_id").isNotNull())
+def failing_ids(frame: DataFrame, failing: Sequence[tuple[str, Column | str]]) -> DataFrame:
+    """One row per failed check of each row; sound rows give none.
+
+    A predicate is a column or SQL text.
+    """
+    if all(isinstance(bad, str) for _, bad in failing):
+        cases = ", ".join(f"case when {bad} then '{name}' end" for name, bad in failing)
+        ids = F.expr(f"explode(array({cases}))")
+    else:
+        ids = F.explode(F.array(*(F.when(bad, F.lit(name)) for name, bad in failing)))
+    return frame.select(ids.alias("check_id")).where("check_id is not null")
 
 
 def _count_ids(frames: Sequence[DataFrame]) -> DataFrame:
@@ -64,20 +76,21 @@ def _described(counted: DataFrame, checks: Sequence[Check], how: str = "right")
     )
 
 
-def type_failure(column: str, logical: str) -> Column:
-    """True where non-null text does not read as the logical type."""
-    text = F.trim(F.col(column).cast("string"))
-    given = F.col(column).isNotNull()
-    if logical == "integer":
-        number = text.try_cast("decimal(38,6)")
-        return given & (number.isNull() | (number % 1 != 0))
-    if logical == "decimal":
-        return given & text.try_cast("decimal(38,6)").isNull()
-    if logical in ("date", "timestamp"):
-        return given & text.try_cast("timestamp_ntz").isNull()
-    if logical == "boolean":
-        return given & ~F.col(column).cast("string").isin("true", "false", "True", "False", "1", "0")
-    return F.lit(False)
+# What makes non-null text unreadable as a logical type; {c} is the column as text.
+_UNREADABLE = {
+    "integer": "coalesce(try_cast(trim({c}) as decimal(38,6)) % 1 <> 0, true)",
+    "decimal": "try_cast(trim({c}) as decimal(38,6)) is null",
+    "date": "try_cast(trim({c}) as timestamp_ntz) is null",
+    "timestamp": "try_cast(trim({c}) as timestamp_ntz) is null",
+    "boolean": "{c} not in ('true', 'false', 'True', 'False', '1', '0')",
+}
+
+
+def type_failure(column: str, logical: str) -> str:
+    """SQL text that is true where a non-null value does not read as the logical type."""
+    if logical == "string":
+        return "false"
+    return f"({column} is not null and {_UNREADABLE[logical].format(c=f'cast({column} as string)')})"
 
 
 def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
@@ -166,15 +179,11 @@ def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] =
         ]
         if not present:
             continue
-        cells = [
-            F.struct(
-                F.lit(f"{table}.fk_{number}").alias("check_id"),
-                F.lit(parent).alias("_parent"),
-                F.col(column).cast("string").alias("_key"),
-            )
+        cells = ", ".join(
+            f"struct('{table}.fk_{number}' as check_id, '{parent}' as _parent, cast({column} as string) as _key)"
             for number, column, parent in present
-        ]
-        children.append(landing[table].select(F.inline(F.array(*cells))))
+        )
+        children.append(landing[table].selectExpr(f"inline(array({cells}))"))
         for number, column, parent in present:
             parents.add(parent)
             details = f"Foreign key ['{column}'] references {parent}(['{CONTRACTS[parent].key[0]}'])."

@@ -48,7 +48,7 @@ class LandedTables:
 
     def __init__(self, tables: BoundTables):
         self.tables = tables
-        self._frames: dict[str, DataFrame] = {}
+        self._frames = tables.landed
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -45,7 +45,7 @@ class Query:
     oracle: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        frame = self.build(BoundTables(tune(spark), folder))
+        frame = self.build(BoundTables.shared(tune(spark), folder))
         kinds = {"timestamp": "timestamp_ntz"}
         return frame.select(*(F.col(c).cast(kinds.get(k, k)).alias(c) for c, k in self.columns.items()))
 
