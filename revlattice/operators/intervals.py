@@ -19,7 +19,8 @@ def expand_months(
 ) -> DataFrame:
     """One row per calendar month the interval touches; reversed intervals give none."""
     start, end = month_of(first), month_of(last)
-    return frame.where(start <= end).select(F.explode(month_series(start, end)).alias(into), "*")
+    # The series is never empty here; the outer form keeps Spark from computing it twice to check.
+    return frame.where(start <= end).select(F.explode_outer(month_series(start, end)).alias(into), "*")
 
 
 def fill_calendar(
@@ -40,7 +41,7 @@ def fill_calendar(
     until = F.coalesce(add_months(F.lead(month).over(order), -1), last_month)
     since = F.when(F.lag(month).over(order).isNull(), first_month).otherwise(F.col(month))
     spread = frame.select("*", month_series(since, until).alias("_months")).select(
-        "*", F.explode("_months").alias("_month")
+        "*", F.explode_outer("_months").alias("_month")
     )
     real = F.col("_month") == F.col(month)
     return spread.select(
@@ -61,7 +62,7 @@ def fill_month_gaps(monthly: DataFrame, month: str) -> DataFrame:
     until = F.coalesce(add_months(F.lead(month).over(order), -1), F.col(month))
     others = [c for c in monthly.columns if c != month]
     spread = monthly.select("*", month_series(F.col(month), until).alias("_months")).select(
-        "*", F.explode("_months").alias("_month")
+        "*", F.explode_outer("_months").alias("_month")
     )
     real = F.col("_month") == F.col(month)
     return spread.select(F.col("_month").alias(month), *(F.when(real, F.col(c)).alias(c) for c in others))
@@ -153,7 +154,7 @@ def valid_on(facts: DataFrame, rules: DataFrame, keys: Sequence[str], on: str, s
 def latest_before(
     points: DataFrame, history: DataFrame, key: str, point_month: str, history_month: str, value: str
 ) -> DataFrame:
-    """Last known ``value`` of ``history`` at or before each point (as-of join).
+    """Last known ``value`` of ``history`` at or before each point, else the first known one (as-of join).
 
     Both sides share one ordering per key, so no point meets more than its own
     neighbour; a key holds at most one history row per month.
@@ -169,6 +170,11 @@ def latest_before(
         F.lit(None).cast(asked.schema["_point"].dataType).alias("_point"),
         F.col(value),
     )
-    order = Window.partitionBy(key).orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, 0)
-    merged = known.unionByName(asked).withColumn(value, F.last(value, ignorenulls=True).over(order))
+    order = Window.partitionBy(key).orderBy("_at", "_asked")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    merged = known.unionByName(asked).withColumn(
+        value,
+        F.coalesce(F.last(value, ignorenulls=True).over(so_far), F.first(value, ignorenulls=True).over(whole)),
+    )
     return merged.where("_asked = 1").select(key, F.col("_at").alias(point_month), "_point.*", value)

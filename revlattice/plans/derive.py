@@ -280,14 +280,12 @@ def renewal_schedule(t, as_of: Column) -> DataFrame:
         .withColumn("due_month", month_of("renewal_due_date"))
     )
     monthly = subscription_monthly(t).select("subscription_id", "month_start", "mrr_eur")
-    opening = monthly.groupBy("subscription_id").agg(F.min_by("mrr_eur", "month_start").alias("activation_mrr"))
     known = latest_before(due, monthly, "subscription_id", "due_month", "month_start", "mrr_eur")
-    mrr = F.coalesce("mrr_eur", "activation_mrr")
-    return known.join(opening, "subscription_id", "left").select(
+    return known.select(
         "subscription_id",
         "renewal_due_date",
-        mrr.alias("mrr_eur"),
-        F.round(mrr * 12, 2).alias("renewal_arr_eur"),
+        "mrr_eur",
+        F.round(F.col("mrr_eur") * 12, 2).alias("renewal_arr_eur"),
         F.lit("renewed").alias("renewal_status"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlattice.functions.measures import count, mean, rate, summarise, total
-from revlattice.plans.marts import account_month, account_mrr_complete, attach_facts, with_movement
+from revlattice.plans.marts import account_grid, account_month, with_movement
 from revlattice.plans.revenue import PAYING, movement_measures, with_movement_ratios
 
 
@@ -16,8 +16,7 @@ def executive_monthly_scorecard(t) -> DataFrame:
     Movements cover every account; seats, users and risk only accounts with a master row.
     """
     known = t["accounts"].select("account_id", F.lit(True).alias("_known"))
-    grid = with_movement(account_mrr_complete(t).select("month_start", "account_id", "mrr_eur", "paid_seats"))
-    facts = attach_facts(t, grid.join(known, "account_id", "left"), "usage", "health")
+    facts = with_movement(account_grid(t, "usage", "health")).join(known, "account_id", "left")
     in_scope = F.col("_known").isNotNull()
     at_risk = in_scope & F.col("renewal_risk_flag")
     monthly = summarise(

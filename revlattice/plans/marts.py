@@ -1,10 +1,11 @@
 """Reusable month, account and invoice grains.
 
 Layout of the recurring-revenue marts: items are joined to their account, reduced
-to one row per account and pair of months, and only then partitioned by account.
-Month expansion, monthly sums, the dense grid and the movement windows all run
-inside that partitioning, so the expanded rows are never shuffled, and no account
-brings more rows to a task than there are pairs of months.
+to one row per account and pair of months, stacked with the monthly facts a view
+reads, and only then partitioned by account.  Month expansion, monthly sums, the
+dense grid and the movement windows all run inside that partitioning, so the
+expanded rows are never shuffled, and no account brings more rows to a task than
+there are pairs of months.
 """
 
 from __future__ import annotations
@@ -96,17 +97,16 @@ def _with_plan_name(t, frame: DataFrame) -> DataFrame:
 
 
 def account_spans(t) -> DataFrame:
-    """Recurring revenue per account and (first month, last month), partitioned by account."""
+    """Recurring revenue per account and (first month, last month)."""
     owners = t["subscriptions"].select("subscription_id", "account_id")
     owned = _item_spans(t, _plan_places(t).select("plan_id", "plan_place")).join(owners, "subscription_id")
-    spans = summarise(owned, ["account_id", *_SPAN], _span_measures("plan_place"))
-    return spans.repartition("account_id")
+    return summarise(owned, ["account_id", *_SPAN], _span_measures("plan_place"))
 
 
 def _account_months(t) -> DataFrame:
     """Sums of sums and maxima of maxima: the subscription level needs no pass of its own."""
-    months = expand_months(account_spans(t), "first_month", "last_month")
-    return summarise(months, ["month_start", "account_id"], _span_measures("plan_place"))
+    months = expand_months(account_spans(t).repartition("account_id"), "first_month", "last_month")
+    return summarise(months, ["account_id", "month_start"], _span_measures("plan_place"))
 
 
 _ACCOUNT_MONTH = (
@@ -137,21 +137,53 @@ def month_bounds(t) -> DataFrame:
     return owned.agg(F.min("first_month").alias("first_month"), F.max("last_month").alias("last_month"))
 
 
-def account_mrr_complete(t, first_month: Column | None = None, last_month: Column | None = None) -> DataFrame:
-    """Every account in every month; bounds default to the months with revenue."""
-    if first_month is None or last_month is None:
-        bounds = month_bounds(t)
-        first_month, last_month = bounds.select("first_month").scalar(), bounds.select("last_month").scalar()
-    grid = fill_calendar(
-        _account_months(t),
+_MRR_ZERO = ("mrr_eur", "mrr_local", "paid_seats", "active_add_ons")
+
+
+def account_mrr_complete(t) -> DataFrame:
+    """Every account with revenue in every month between the first and last with revenue."""
+    return _with_plan_name(t, account_grid(t)).select(*_ACCOUNT_MONTH)
+
+
+def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Dense account-month grid with recurring revenue and monthly facts.
+
+    Revenue spans and facts are stacked, partitioned by account once, expanded
+    and merged there; no grid row is joined or shuffled.  ``extra`` adds integer
+    columns, each from a frame of (account_id, month_start, value).  Facts of
+    accounts without revenue, and outside the months with revenue, drop out.
+    """
+    bounds = month_bounds(t).select(F.struct("first_month", "last_month")).scalar()
+    first_month, last_month = bounds["first_month"], bounds["last_month"]
+    added = {name: _fact(t, name) for name in facts}
+    counts = [c for name in facts for c in FACTS[name] if name != "health"]
+    scores = [c for name in facts for c in FACTS[name] if name == "health"]
+    rows = account_spans(t).withColumn("_revenue", F.lit(1))
+    monthly = [*added.values(), *(extra or {}).values()]
+    for frame in monthly:
+        spans = frame.where(F.col("month_start").between(first_month, last_month)).select(
+            F.col("month_start").alias("first_month"), F.col("month_start").alias("last_month"), "*"
+        )
+        rows = rows.unionByName(spans.drop("month_start"), allowMissingColumns=True)
+    months = expand_months(rows.repartition("account_id"), "first_month", "last_month")
+    others = [*counts, *scores, *(extra or {})]
+    merged = summarise(
+        months,
+        ["account_id", "month_start"],
+        [*_span_measures("plan_place"), highest("_revenue", "_revenue"), *(highest(c, c) for c in others)],
+    )
+    if monthly:
+        has_revenue = F.max("_revenue").over(Window.partitionBy("account_id"))
+        merged = merged.withColumn("_any", has_revenue).where("_any = 1")
+    return fill_calendar(
+        merged,
         key="account_id",
         month="month_start",
         first_month=first_month,
         last_month=last_month,
-        zero=("mrr_eur", "mrr_local", "paid_seats", "active_add_ons"),
-        blank=("plan_place",),
+        zero=(*_MRR_ZERO, *counts, *(extra or {})),
+        blank=("plan_place", *scores),
     )
-    return _with_plan_name(t, grid).select(*_ACCOUNT_MONTH)
 
 
 def movement_type(previous: Column, current: Column, active_before: Column) -> Column:
@@ -300,53 +332,50 @@ _USAGE_COUNTS = (
     "api_calls",
     "feature_breadth",
 )
+FACTS = {
+    "usage": _USAGE_COUNTS,
+    "support": ("support_tickets", "escalated_tickets"),
+    "payments": ("unpaid_invoices",),
+    "health": ("health_score", "health_segment", "renewal_risk_flag"),
+}
 
 
-FACTS = ("usage", "support", "payments", "health")
-
-
-def _facts(t, name: str) -> tuple[DataFrame, dict[str, Column]]:
-    """A monthly account frame and the columns it adds to the grid."""
+def _fact(t, name: str) -> DataFrame:
+    """One row per account and month with the fact's columns."""
     keys = ("account_id", "month_start")
-    zero_filled = lambda *names: {n: F.coalesce(F.col(n), F.lit(0)) for n in names}
     if name == "usage":
-        return account_usage_monthly(t).select(*keys, *_USAGE_COUNTS), zero_filled(*_USAGE_COUNTS)
+        return account_usage_monthly(t).select(*keys, *_USAGE_COUNTS)
     if name == "support":
-        support = support_monthly(t).select(*keys, F.col("tickets").alias("support_tickets"), "escalated_tickets")
-        return support, zero_filled("support_tickets", "escalated_tickets")
+        return support_monthly(t).select(*keys, F.col("tickets").alias("support_tickets"), "escalated_tickets")
     if name == "payments":
-        return payment_monthly(t).select(*keys, "unpaid_invoices"), zero_filled("unpaid_invoices")
-    scores = ("health_score", "health_segment", "renewal_risk_flag")
-    health = t["account_health_history"].select("account_id", F.col("health_month").alias("month_start"), *scores)
-    return health, {n: F.col(n) for n in scores}
-
-
-def attach_facts(t, grid: DataFrame, *facts: str) -> DataFrame:
-    """Left-join monthly facts to an account-month grid; counts are 0 where absent, health stays NULL."""
-    joined, added = grid, {}
-    for name in facts:
-        frame, columns = _facts(t, name)
-        joined = joined.join(frame, ["account_id", "month_start"], "left")
-        added |= columns
-    return joined.select(*grid.columns, *(value.alias(n) for n, value in added.items()))
+        return payment_monthly(t).select(*keys, "unpaid_invoices")
+    return t["account_health_history"].select(
+        "account_id", F.col("health_month").alias("month_start"), *FACTS["health"]
+    )
 
 
-def account_month(t, *facts: str) -> DataFrame:
+def account_month(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> DataFrame:
     """Account-month fact over the dense grid; accounts without a master row drop out.
 
     Views name the facts they read (``FACTS`` for all), so no unused table is scanned.
     """
     accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
-    grid = account_mrr_complete(t).join(accounts, "account_id").select(
-        "month_start",
-        "account_id",
-        *ACCOUNT_DIMENSIONS,
-        "mrr_eur",
-        "paid_seats",
-        "active_add_ons",
-        "primary_plan_name",
+    added = [c for name in facts for c in FACTS[name]]
+    return (
+        _with_plan_name(t, account_grid(t, *facts, extra=extra))
+        .join(accounts, "account_id")
+        .select(
+            "month_start",
+            "account_id",
+            *ACCOUNT_DIMENSIONS,
+            "mrr_eur",
+            "paid_seats",
+            "active_add_ons",
+            "primary_plan_name",
+            *added,
+            *(extra or {}),
+        )
     )
-    return attach_facts(t, grid, *facts)
 
 
 def latest_month(t) -> Column:

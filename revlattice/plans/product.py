@@ -169,7 +169,7 @@ def usage_before_churn(t) -> DataFrame:
         .groupBy("account_id", "month_start")
         .agg(F.sum("_n").alias("_n"))
     )
-    months = account_month(t, "usage").join(windows, ["account_id", "month_start"])
+    months = account_month(t, "usage", extra={"_n": windows}).where("_n > 0")
 
     def weighted(name: str, column: str):
         return rate(name, total("sum", F.col(column) * F.col("_n")), total("n", "_n"))

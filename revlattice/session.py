@@ -8,9 +8,6 @@ SETTINGS = {
     # Coalesce small shuffle partitions, split skewed ones, switch join strategy at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Account-month frames are hash-partitioned by account alone; a join on
-    # (account, month) may use that partitioning instead of shuffling again.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Dates and timestamps compare without a zone.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
