@@ -161,10 +161,8 @@ def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> D
     rows = account_spans(t).withColumn("_revenue", F.lit(1))
     monthly = [*added.values(), *(extra or {}).values()]
     for frame in monthly:
-        spans = frame.where(F.col("month_start").between(first_month, last_month)).select(
-            F.col("month_start").alias("first_month"), F.col("month_start").alias("last_month"), "*"
-        )
-        rows = rows.unionByName(spans.drop("month_start"), allowMissingColumns=True)
+        spans = frame.withColumnsRenamed({"month_start": "first_month"}).withColumn("last_month", F.col("first_month"))
+        rows = rows.unionByName(spans, allowMissingColumns=True)
     months = expand_months(rows.repartition("account_id"), "first_month", "last_month")
     others = [*counts, *scores, *(extra or {})]
     merged = summarise(
@@ -174,7 +172,8 @@ def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> D
     )
     if monthly:
         has_revenue = F.max("_revenue").over(Window.partitionBy("account_id"))
-        merged = merged.withColumn("_any", has_revenue).where("_any = 1")
+        inside = F.col("month_start").between(first_month, last_month)
+        merged = merged.withColumn("_any", has_revenue).where((F.col("_any") == 1) & inside)
     return fill_calendar(
         merged,
         key="account_id",
