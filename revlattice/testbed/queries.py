@@ -1400,7 +1400,7 @@ query(
     derive.plan_mrr,
     f"""select i.subscription_item_id, i.plan_id, i.quantity as seats, i.plan_price_id,
                cast({_GROSS} as decimal(24,6)) as gross_mrr,
-               cast(cast({_GROSS} as decimal(18,6)) * (1 - greatest(0, cast(c.discount_pct as decimal(9,4))
+               cast(cast({_GROSS} as decimal(24,6)) * (1 - greatest(0, cast(c.discount_pct as decimal(9,4))
                     - cast(i.annual_discount_pct as decimal(9,4)))) as decimal(24,6)) as plan_mrr
         from {{mart:plan_item}} i join {{plans}} p using (plan_id) join {{contracts}} c using (contract_id)""",
 )
@@ -1410,7 +1410,7 @@ query(
     "bigint: invoice_id; date: invoice_date; string: currency_code; double: total_local eur_rate converted_eur",
     derive.fx_convert,
     f"""select i.invoice_id, i.invoice_date, i.currency_code, i.total_local, {_RATE} as eur_rate,
-               cast(cast(i.total_local as decimal(18,4)) * cast({_RATE} as decimal(12,6)) as decimal(24,6)) as converted_eur
+               cast(cast(i.total_local as decimal(20,4)) * cast({_RATE} as decimal(12,6)) as decimal(24,6)) as converted_eur
         from {{invoices}} i left join {{fx_rates}} f on f.currency_code = i.currency_code
          and f.rate_date = date_trunc('month', i.invoice_date)""",
 )
