@@ -154,45 +154,53 @@ def account_method(t) -> DataFrame:
     return t["payment_methods"].groupBy("account_id").agg(first.alias("method_type"))
 
 
+def _billing_terms(t) -> DataFrame:
+    """Subscriptions with all their invoices depend on, so monthly rows need no join of their own by account."""
+    countries = t["countries"].select("country_code", F.col("vat_rate").cast("decimal(6,4)").alias("vat_rate"), "currency_code")
+    due_days = F.when(F.col("method_type") == "bank_transfer", TRANSFER_DUE_DAYS).otherwise(OTHER_DUE_DAYS)
+    accounts = (
+        t["accounts"]
+        .select("account_id", "country_code")
+        .join(countries, "country_code")
+        .join(account_method(t), "account_id", "left")
+        .select("account_id", "vat_rate", "currency_code", due_days.alias("due_days"))
+    )
+    return (
+        t["subscriptions"]
+        .select("subscription_id", "account_id", "subscription_start_date", "ended_date", "billing_frequency")
+        .join(accounts, "account_id")
+    )
+
+
 def invoice_run(t, as_of: Column) -> DataFrame:
     """Invoices due from monthly subscription revenue: every month, or each twelfth for annual billing."""
-    subscriptions = t["subscriptions"].select(
-        "subscription_id", "subscription_start_date", "ended_date", "billing_frequency"
-    )
-    accounts = t["accounts"].select("account_id", "country_code")
-    countries = t["countries"].select("country_code", "vat_rate", "currency_code")
     annual = F.col("billing_frequency") == "annual"
     month, started = F.col("month_start"), F.col("subscription_start_date")
     yearly_end = F.least(F.date_sub(add_months("month_start", 12), 1), F.coalesce("ended_date", as_of))
     monthly_end = F.least(F.last_day("month_start"), F.coalesce("ended_date", F.last_day("month_start")))
-    due_days = F.when(F.col("method_type") == "bank_transfer", TRANSFER_DUE_DAYS).otherwise(OTHER_DUE_DAYS)
+    subtotal = F.when(annual, F.col("mrr_local") * 12).otherwise(F.col("mrr_local")).cast("decimal(20,4)")
     billed = (
         subscription_monthly(t)
-        .select("month_start", "subscription_id", "account_id", "mrr_local")
-        .join(subscriptions, "subscription_id")
+        .select("month_start", "subscription_id", "mrr_local")
+        .join(_billing_terms(t), "subscription_id")
         .where(~annual | (F.pmod(months_apart(month, started), F.lit(12)) == 0))
-        .join(account_method(t), "account_id", "left")
-        .join(accounts, "account_id")
-        .join(countries, "country_code")
         .select(
             "subscription_id",
             "account_id",
             month.alias("service_period_start"),
             F.when(annual, yearly_end).otherwise(monthly_end).alias("service_period_end"),
             F.greatest(started, month).alias("invoice_date"),
-            due_days.alias("due_days"),
+            "due_days",
             "currency_code",
-            F.when(annual, F.col("mrr_local") * 12).otherwise(F.col("mrr_local")).cast("decimal(20,4)").alias("subtotal_local"),
-            F.col("vat_rate").cast("decimal(6,4)").alias("vat_rate"),
+            subtotal.alias("subtotal_local"),
+            (subtotal * F.col("vat_rate")).cast("decimal(24,8)").alias("tax_local"),
         )
     )
-    tax = (F.col("subtotal_local") * F.col("vat_rate")).cast("decimal(24,8)")
-    taxed = (
-        billed.withColumn("due_date", F.date_add("invoice_date", F.col("due_days")))
-        .withColumn("tax_local", tax)
-        .withColumn("total_local", (F.col("subtotal_local") + tax).cast("decimal(24,8)"))
+    taxed = billed.withColumn("due_date", F.date_add("invoice_date", F.col("due_days"))).withColumn(
+        "total_local", (F.col("subtotal_local") + F.col("tax_local")).cast("decimal(24,8)")
     )
     rated = with_fx_rate(taxed, t["fx_rates"], "currency_code", "invoice_date")
+    total_eur = (F.col("total_local") * F.col("eur_rate").cast("decimal(12,6)")).cast("decimal(34,12)")
     return rated.select(
         "subscription_id",
         "account_id",
@@ -201,10 +209,8 @@ def invoice_run(t, as_of: Column) -> DataFrame:
         "invoice_date",
         "due_date",
         "currency_code",
-        F.round("subtotal_local", 2).alias("subtotal_local"),
-        F.round("tax_local", 2).alias("tax_local"),
-        F.round("total_local", 2).alias("total_local"),
-        F.round((F.col("total_local") * F.col("eur_rate").cast("decimal(12,6)")).cast("decimal(34,12)"), 2).alias("total_eur"),
+        *(F.round(c, 2).alias(c) for c in ("subtotal_local", "tax_local", "total_local")),
+        F.round(total_eur, 2).alias("total_eur"),
         invoice_status(F.lit(False), F.col("due_date"), as_of).alias("invoice_status"),
     )
 

@@ -479,7 +479,7 @@ def sales_funnel_account(t) -> DataFrame:
 
     def children(frame: DataFrame, mql: Column = F.lit(False), sql: Column = F.lit(False), **present: str) -> DataFrame:
         return frame.select(
-            F.col("account_id").alias("_account"),
+            "account_id",
             mql.alias("reached_mql"),
             sql.alias("reached_sql"),
             *(
@@ -509,7 +509,10 @@ def sales_funnel_account(t) -> DataFrame:
         )
     )
     accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
-    return accounts.join(rows, F.col("account_id") == F.col("_account"), "left").select(
+    # An inner join may split a frequent account among tasks, an outer one could not.
+    owned = rows.join(accounts, "account_id")
+    childless = accounts.join(rows.select("account_id").distinct(), "account_id", "left_anti")
+    return owned.unionByName(childless, allowMissingColumns=True).select(
         "account_id",
         *ACCOUNT_DIMENSIONS,
         "lead_id",
