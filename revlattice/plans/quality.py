@@ -131,37 +131,54 @@ def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tupl
     return counted.sparkSession.createDataFrame(declared, schema).unionByName(counted)
 
 
+def _key_text(columns: Sequence[str]) -> Column:
+    """One text per key: the value itself, or every part with its length so that parts cannot run together."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    return F.concat(*(part(F.col(c).cast("string")) for c in columns))
+
+
 def primary_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
     """Rows with a null key part, and all rows that share their key with another.
 
-    The keys of all tables are counted in one shuffle.
+    The keys of all tables are counted in one shuffle, under the table's number.
     """
     keyed, checks = [], []
     for table in tables:
         key = list(CONTRACTS[table].key)
         if table not in landing or set(key) - set(landing[table].columns):
             continue
-        parts = F.array(*(F.col(k).cast("string") for k in key))
-        keyed.append(landing[table].select(F.lit(table).alias("_table"), parts.alias("_key")))
+        has_null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
+        keyed.append(
+            landing[table].select(
+                F.lit(len(keyed)).alias("_table"), _key_text(key).alias("_key"), has_null.alias("_has_null")
+            )
+        )
         checks += [
             Check(f"{table}.pk_not_null", table, "primary_key", f"Primary key {key} is not null."),
             Check(f"{table}.pk_unique", table, "primary_key", f"Primary key {key} is unique."),
         ]
-    has_null = F.exists("_key", lambda part: part.isNull())
-    per_key = _union(keyed).groupBy("_table", "_key").agg(F.count(F.lit(1)).alias("n"))
+    per_key = _union(keyed).groupBy("_table", "_key", "_has_null").agg(F.count(F.lit(1)).alias("n"))
     per_table = per_key.groupBy("_table").agg(
-        F.sum(F.when(has_null, F.col("n")).otherwise(0)).alias("nulls"),
+        F.sum(F.when(F.col("_has_null"), F.col("n")).otherwise(0)).alias("nulls"),
         F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeats"),
     )
     counted = per_table.select(
         F.inline(
             F.array(
-                F.struct(F.concat("_table", F.lit(".pk_not_null")).alias("check_id"), F.col("nulls").alias("failure_count")),
-                F.struct(F.concat("_table", F.lit(".pk_unique")).alias("check_id"), F.col("repeats").alias("failure_count")),
+                F.struct((F.col("_table") * 2).alias("_check"), F.col("nulls").alias("failure_count")),
+                F.struct((F.col("_table") * 2 + 1).alias("_check"), F.col("repeats").alias("failure_count")),
             )
         )
     )
-    return _described(counted, checks)
+    return _described(_named(counted, checks), checks)
+
+
+def _named(counted: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Replace the check's number, which is what moved through the shuffles, by its id."""
+    ids = F.array(*(F.lit(c.check_id) for c in checks))
+    return counted.select(F.element_at(ids, F.col("_check") + 1).alias("check_id"), "failure_count")
 
 
 def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
@@ -170,39 +187,36 @@ def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] =
     References of all tables meet all parent keys in one join.  Child rows are
     counted per key before it, so a frequent key is one row.
     """
-    children, checks, parents = [], [], set()
+    children, checks = [], []
+    parents: list[str] = []
     for table in tables:
-        present = [
-            (number, column, parent)
-            for number, (column, parent) in enumerate(references_of(table), start=1)
-            if table in landing and column in landing[table].columns
-        ]
-        if not present:
-            continue
-        cells = ", ".join(
-            f"struct('{table}.fk_{number}' as check_id, '{parent}' as _parent, cast({column} as string) as _key)"
-            for number, column, parent in present
-        )
-        children.append(landing[table].selectExpr(f"inline(array({cells}))"))
-        for number, column, parent in present:
-            parents.add(parent)
+        cells = []
+        for number, (column, parent) in enumerate(references_of(table), start=1):
+            if table not in landing or column not in landing[table].columns:
+                continue
+            if parent not in parents:
+                parents.append(parent)
+            place = parents.index(parent)
+            cells.append(f"struct({len(checks)} as _check, {place} as _parent, cast({column} as string) as _key)")
             details = f"Foreign key ['{column}'] references {parent}(['{CONTRACTS[parent].key[0]}'])."
             checks.append(Check(f"{table}.fk_{number}", table, "foreign_key", details))
+        if cells:
+            children.append(landing[table].selectExpr(f"inline(array({', '.join(cells)}))"))
     known = _union(
         [
-            landing[p].select(F.lit(p).alias("_parent"), F.col(CONTRACTS[p].key[0]).cast("string").alias("_key"))
-            for p in sorted(parents)
+            landing[p].select(F.lit(place).alias("_parent"), F.col(CONTRACTS[p].key[0]).cast("string").alias("_key"))
+            for place, p in enumerate(parents)
             if p in landing and CONTRACTS[p].key[0] in landing[p].columns
         ]
     ).distinct()
-    per_key = _union(children).groupBy("check_id", "_parent", "_key").agg(F.count(F.lit(1)).alias("n"))
+    per_key = _union(children).groupBy("_check", "_parent", "_key").agg(F.count(F.lit(1)).alias("n"))
     orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
     counted = (
         per_key.join(known.withColumn("_found", F.lit(1)), ["_parent", "_key"], "left")
-        .groupBy("check_id")
+        .groupBy("_check")
         .agg(F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("failure_count"))
     )
-    return _described(counted, checks, how="inner")
+    return _described(_named(counted, checks), checks, how="inner")
 
 
 def _moment(column: str) -> Column:
