@@ -17,7 +17,6 @@ from revlattice.functions.measures import (
     summarise_through,
     total,
 )
-from revlattice.plans.acquisition import median_of_days
 from revlattice.plans.marts import account_month
 from revlattice.plans.revenue import PAYING
 

@@ -38,11 +38,6 @@ def landing_text(table: str) -> str:
     return f"select {', '.join(columns)} from {{{table}}}"
 
 
-def landed_columns(table: str) -> list[str]:
-    kept = [c for c in CONTRACTS[table].columns if c not in DROPPED.get(table, ())]
-    return kept + list(ADDED.get(table, {}))
-
-
 class LandedTables:
     """The text form of every bound table."""
 

@@ -27,7 +27,7 @@ from revlattice.plans import (
 from revlattice.session import tune
 from revlattice.sources import tables as sources
 from revlattice.testbed.bind import BoundTables
-from revlattice.testbed.landing import ADDED, DROPPED, LandedTables, landed_columns
+from revlattice.testbed.landing import ADDED, DROPPED, LandedTables
 from revlattice.testbed.oracle import avg, compose, hours, month, n, ratio
 
 AS_OF = "1999-12-31"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from conftest import subscribed
 from revlattice.functions.normal import two_sided_p
 from revlattice.operators.intervals import compress_runs, latest_before, overlapping_pairs, valid_on
-from revlattice.plans import acquisition, billing, derive, experiments, quality
+from revlattice.plans import acquisition, billing, derive, experiments, quality, reports
 
 D = dt.date
 
@@ -215,6 +215,12 @@ def test_bands(spark):
     assert one(derive.invoice_status(lit(False), day("2024-01-01"), day("2024-01-01"))) == "overdue"
 
 
+def test_unreadable_text_becomes_null(spark):
+    frame = spark.createDataFrame([(" 12.50 ", "2024-02-29"), ("x", "2024-02-30"), ("", None)], "n string, d string")
+    got = [tuple(r) for r in frame.select(reports.to_number("n"), reports.to_day("d")).collect()]
+    assert got == [(Decimal("12.5"), D(2024, 2, 29)), (None, None), (None, None)]
+
+
 def test_missing_rate_raises_or_stays_null(tables, spark):
     t = tables(
         invoices=[{"invoice_id": "i", "invoice_date": "2024-02-10", "currency_code": "GBP", "total_local": 2}],
