@@ -72,12 +72,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     return state.withColumn("weight", F.col("weight") * F.lit(float(total)))
 
 
-def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, keep: float | None = None) -> DataFrame:
+def _scale(weights: DataFrame, share: float | None) -> float:
+    """One over the largest weight, or the largest scale (in steps of 5 %) that keeps at most ``share`` of the tokens."""
+    top, total = weights.agg(F.max("weight"), F.sum("tokens")).first()
+    least = 1.0 / (top or 1.0)
+    if not share or not total:
+        return least
+    scales = [least * 1.05**i for i in range(400)]
+    kept = weights.agg(*(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * F.lit(s))) for s in scales)).first()
+    return max([s for s, mass in zip(scales, kept, strict=True) if mass <= share * total], default=least)
+
+
+def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, share: float | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, tokens, margins): weight, probability, selected.
 
     Margins are text. Targets come as (value, share) per margin, or from ``powers`` of the margin's own token sums. The
     probability of a document is its cell's weight over the largest weight, so that every one is at most 1 and kept tokens
-    meet the targets in expectation; with ``keep`` it is instead weight x keep, cut at 1. Selection compares it with a draw
+    meet the targets in expectation. With ``share`` the weights are scaled further until about that share of all tokens is
+    kept, cut at 1, so that cells which run out fall short of their target. Selection compares it with a draw
     from the id, so a rerun selects the same rows. Null margin values form a value of their own. Documents without tokens
     (null or empty text) carry no weight: probability 0, not selected. Rows that repeat an id share its draw.
     """
@@ -85,7 +97,7 @@ def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None =
     cells = written(cells_of(keyed, margins), "sums")
     given = {m: targets[m].withColumn("value", _key("value")) if targets and m in targets else tempered(cells, m, (powers or {}).get(m, 1.0)) for m in margins}
     weights = rake(cells, given)
-    scale = keep or 1.0 / (weights.agg(F.max("weight")).first()[0] or 1.0)
+    scale = _scale(weights, share)
     weights = weights.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
     same = reduce(lambda a, b: a & b, (F.col(f"d.{m}") == F.col(f"w.{m}") for m in margins)) & (F.col("d.tokens") > 0)
     joined = keyed.alias("d").join(written(weights, "weights").alias("w"), same, "left")
