@@ -29,7 +29,11 @@ CHUNK_CHARS, CHUNK_TEXTS = 16_000_000, 60_000
 PART_CHARS = 20_000_000
 SKETCH = 8
 GROUP = 512
-PIECES = "chunk long, part int, data binary, place int, doc_id long, size int, node long, " + ", ".join(f"s{i} long" for i in range(SKETCH))
+LOW_BITS = 40
+SKETCHES = [f"s{i}" for i in range(SKETCH)]
+ROW = "id long, doc_id long, size int, node long, " + ", ".join(f"{s} long" for s in SKETCHES)
+PIECES = f"part int, first long, data binary, {ROW}"
+FOUND = f"signature long, {ROW}"
 
 _INSIDE = np.ones(256, dtype=bool)
 _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
@@ -156,52 +160,73 @@ def sketch_of(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _pack(values: np.ndarray, owner: np.ndarray) -> bytes:
+    """Sorted numbers and 16-bit owners; steps of 32 bits where they suffice."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    if steps.max() < 1 << 32:
+        return b"s" + owner.tobytes() + steps.astype(np.uint32).tobytes()
+    return b"v" + owner.tobytes() + values.tobytes()
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    width = 4 if data[:1] == b"s" else 8
+    count = (len(data) - 1) // (2 + width)
+    values = np.frombuffer(data, dtype=np.uint32 if width == 4 else np.uint64, offset=1 + 2 * count)
+    return np.cumsum(values, dtype=np.uint64) if width == 4 else values, np.frombuffer(data, dtype=np.uint16, count=count, offset=1)
+
+
 def _pieces(docs: DataFrame, bits: int, chunk_chars: int) -> DataFrame:
-    """Per chunk its documents (part -1: place, doc_id, size, node, sketch) and its signatures packed by part."""
+    """Documents (part -1 and below: id, doc_id, size, node, sketch) and the signatures of each chunk, packed by part.
+
+    A row's id is the first id of its chunk plus its place there.
+    """
     small_batches(docs.sparkSession)
-    names = ["chunk", "part", "data", "place", "doc_id", "size", "node", *(f"s{i}" for i in range(SKETCH))]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), *[pa.int64()] * SKETCH]
+    names = ["part", "first", "data", "id", "doc_id", "size", "node", *SKETCHES]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * (1 + SKETCH)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId() << 32
+        first = TaskContext.get().partitionId() << 40
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-        known: dict[int, int] = {}
+        known: set[int] = set()
         place = chars = 0
 
         def packs() -> Iterator[pa.RecordBatch]:
-            if not held:
+            values = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            if not len(values):
                 return
-            values, owner = np.concatenate(held), np.concatenate(owners)
+            values >>= np.uint64(64 - LOW_BITS - bits)
+            owner = np.concatenate(owners)
             order = np.argsort(values)
             values, owner = values[order], owner[order].astype(np.uint16)
-            part = (values >> np.uint64(64 - bits)).astype(np.int32)
-            low = (values >> np.uint64(32 - bits)).astype(np.uint32)
+            part = (values >> np.uint64(LOW_BITS)).astype(np.int32)
+            low = values & np.uint64((1 << LOW_BITS) - 1)
             at = np.flatnonzero(np.diff(part, prepend=-1))
-            data = [low[s:e].tobytes() + owner[s:e].tobytes() for s, e in zip(at, [*at[1:], len(part)], strict=True)]
-            columns = [pa.array(np.full(len(at), chunk)), pa.array(part[at]), pa.array(data, pa.binary())]
+            data = [_pack(low[s:e], owner[s:e]) for s, e in zip(at, [*at[1:], len(part)], strict=True)]
+            columns = [pa.array(part[at]), pa.array(np.full(len(at), first)), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(at), k) for k in kinds[3:])], names=names)
 
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            sets = shingle_sets(texts)
-            nodes = [node_of(s) if len(s) else None for s in sets]
             if place + len(texts) > CHUNK_TEXTS or chars > chunk_chars:
                 yield from packs()
-                chunk, held, owners, known, place, chars = chunk + 1, [], [], {}, 0, 0
+                first, held, owners, known, place, chars = first + (1 << 16), [], [], set(), 0, 0
+            sets = shingle_sets(texts)
+            nodes = [node_of(s) if len(s) else None for s in sets]
             fresh = []
             for i, node in enumerate(nodes):
                 if node is not None and node not in known:
-                    known[node] = place + i
+                    known.add(node)
                     fresh.append(i)
             values, owner = signatures([sets[i] for i in fresh])
             held.append(values)
             owners.append(np.array(fresh, dtype=np.int64)[owner] + place if len(fresh) else owner)
             sketches = np.stack([sketch_of(s) for s in sets])
-            fixed = [pa.array(np.full(len(texts), chunk)), pa.nulls(len(texts), pa.int32()).fill_null(-1), pa.nulls(len(texts), pa.binary())]
-            own = [pa.array(np.arange(place, place + len(texts), dtype=np.int32)), ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(nodes, pa.int64())]
+            spread = -1 - np.arange(place, place + len(texts)) % (1 << bits)
+            fixed = [pa.array(spread.astype(np.int32)), pa.array(np.full(len(texts), first)), pa.nulls(len(texts), pa.binary())]
+            own = [pa.array(first + np.arange(place, place + len(texts))), ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(nodes, pa.int64())]
             yield pa.RecordBatch.from_arrays([*fixed, *own, *(pa.array(sketches[:, i]) for i in range(SKETCH))], names=names)
             place += len(texts)
             chars += sum(map(len, texts))
@@ -210,28 +235,31 @@ def _pieces(docs: DataFrame, bits: int, chunk_chars: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def _shared_signatures(pieces: DataFrame) -> DataFrame:
-    """(signature, chunk, place) of every signature that occurs more than once."""
+def _found(pieces: DataFrame) -> DataFrame:
+    """The documents (signature null), and (signature, id) of every signature that occurs more than once."""
+    names = ["signature", "id", "doc_id", "size", "node", *SKETCHES]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * (1 + SKETCH)]
 
     def run(rows: pa.Table) -> pa.Table:
-        data = rows.column("data").to_pylist()
-        counts = np.array([len(d) // 6 for d in data])
-        low = np.concatenate([np.frombuffer(d, dtype=np.uint32, count=n) for d, n in zip(data, counts, strict=True)])
-        place = np.concatenate([np.frombuffer(d, dtype=np.uint16, offset=4 * n) for d, n in zip(data, counts, strict=True)])
-        chunk = np.repeat(rows.column("chunk").to_numpy(), counts)
+        part = rows.column("part")[0].as_py()
+        if part < 0:
+            return pa.table([pa.nulls(len(rows), pa.int64()), *(rows.column(n) for n in names[1:])], names=names)
+        values, owners = zip(*map(_unpack, rows.column("data").to_pylist()), strict=True)
+        low = np.concatenate(values)
+        ids = np.repeat(rows.column("first").to_numpy(), [len(v) for v in values]) + np.concatenate(owners)
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         keep = order[np.append(same, False) | np.append(False, same)]
-        signature = (rows.column("part").to_numpy()[0].astype(np.int64) << 32) | low[keep].astype(np.int64)
-        return pa.table({"signature": signature, "chunk": chunk[keep], "place": place[keep].astype(np.int32)})
+        signature = (np.uint64(part) << np.uint64(LOW_BITS)) | low[keep]
+        return pa.table([signature.view(np.int64), ids[keep], *(pa.nulls(len(keep), k) for k in kinds[2:])], names=names)
 
-    return pieces.filter("part >= 0").select("part", "chunk", "data").groupBy("part").applyInArrow(run, "signature long, chunk long, place int")
+    return pieces.groupBy("part").applyInArrow(run, FOUND)
 
 
 def _alike(a: str, b: str) -> Column:
     """Sizes and sketches allow the similarity: an exact necessary condition."""
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
-    differ = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH)))
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCHES))
     return (5 * F.least(size_a, size_b) >= 4 * F.greatest(size_a, size_b)) & (9 * differ <= size_a + size_b)
 
 
@@ -270,12 +298,12 @@ def linked(docs: DataFrame, part_chars: int = PART_CHARS, chunk_chars: int = CHU
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     total = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     bits = min(24, max(2, (groups_for(total, part_chars) - 1).bit_length()))
-    pieces = written(_pieces(docs, bits, chunk_chars), "pieces")
-    sketches = [f"s{i}" for i in range(SKETCH)]
-    rows = pieces.filter("part = -1").drop("part", "data")
-    nodes = written(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["size", *sketches])), "nodes")
-    shared = _shared_signatures(pieces).join(rows.select("chunk", "place", "node"), ["chunk", "place"])
-    hits = shared.groupBy("signature", "node").agg(F.lit(1).alias("one")).select("signature", "node")
+    found = written(_found(_pieces(docs, bits, chunk_chars)), "found")
+    rows = found.filter("signature is null").drop("signature")
+    nodes = written(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["size", *SKETCHES])), "nodes")
+    shared = found.filter("signature is not null").select("signature", "id").join(rows.select("id", "node"), "id")
+    # One exchange by signature serves all three steps.
+    hits = shared.select("signature", "node").repartition(F.col("signature")).distinct()
     buckets = hits.groupBy("signature").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("signature", "hub")
     hits = written(hits.join(buckets, "signature"), "hits")
 
@@ -283,17 +311,17 @@ def linked(docs: DataFrame, part_chars: int = PART_CHARS, chunk_chars: int = CHU
     common = hits.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
     stars = common.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best")).select("node", "best.hub")
     met = stars.alias("p").join(nodes.alias("x"), F.col("p.node") == F.col("x.node")).join(nodes.alias("y"), F.col("p.hub") == F.col("y.node"))
-    pairs = written(met.filter(_alike("x", "y")).select(F.col("y.node").alias("a"), F.col("x.node").alias("b")), "pairs")
+    pairs = written(met.filter(_alike("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
+    # As if all of these were links; whatever that hides lies between nodes of these pairs and is looked for below.
+    pairs = written(pairs.unionByName(_unconnected(hits, components(pairs), nodes)).distinct(), "pairs")
 
-    chosen = hits.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    chosen = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id"), "node")
     sets = written(_sets(docs, chosen), "sets")
     links = written(_verified(pairs, sets), "links")
     roots = components(links)
-
-    rest = _unconnected(hits, roots, nodes).join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = written(_verified(written(rest, "pairs"), sets), "links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    hidden = written(_unconnected(hits, roots, nodes).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if not hidden.isEmpty():
+        roots = components(links.unionByName(written(_verified(hidden, sets), "links")))
     least = nodes.join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = nodes.join(roots, "node", "left").join(least, "root", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     return rows.join(named, "node", "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -313,7 +341,7 @@ def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.binary())], names=["node", "shingles"])
 
     texts = docs.join(chosen.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(chosen["doc_id"])).select("node", "text")
-    return texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, shingles binary")
 
 
 def _unconnected(hits: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
