@@ -25,8 +25,9 @@ SCHEMA = "chunk long, part int, data binary"
 #: The part number of a chunk's documents.
 DOCS = -1
 
-#: Texts of a chunk to: length of each sequence, all sequences of key numbers, the distinct keys.
-Numbering = Callable[[list[str]], tuple[np.ndarray, np.ndarray, pa.Array]]
+#: Texts of a chunk to: length of each sequence, all sequences of key numbers, the distinct keys, and how often each number
+#: counts (once, if None).
+Numbering = Callable[[list[str]], tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray | None]]
 
 
 def packed(table: pa.Table) -> bytes:
@@ -54,7 +55,7 @@ class _Numbers(dict):
 def by_token(tokens: Callable[[str], list]) -> Numbering:
     """Numbers the tokens (str or bytes) of every text in the order they are met."""
 
-    def number(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    def number(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array, None]:
         known = _Numbers()
         found, lengths = [], np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
@@ -62,7 +63,7 @@ def by_token(tokens: Callable[[str], list]) -> Numbering:
             lengths[i] = len(some)
             found.append(np.fromiter(map(known.__getitem__, some), dtype=np.int32, count=len(some)))
         keys = [k.encode("utf-8", "surrogatepass") if isinstance(k, str) else k for k in known]
-        return lengths, np.concatenate(found) if found else np.zeros(0, np.int32), pa.array(keys, pa.large_binary())
+        return lengths, np.concatenate(found) if found else np.zeros(0, np.int32), pa.array(keys, pa.large_binary()), None
 
     return number
 
@@ -79,10 +80,11 @@ def part_count(docs: DataFrame, part_chars: int = PART_CHARS) -> int:
     return groups_for(docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0], part_chars, 4)
 
 
-def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = CHUNK_CHARS, exchanged: bool = True) -> DataFrame:
     """Rows (chunk, part, data): the documents of a chunk under part -1, its distinct keys under their parts.
 
     ``docs`` is (doc_id, text, learn); a null text counts as empty. Keys carry how often documents with ``learn`` hold them.
+    ``exchanged`` deals the rows by chunk, so that readers in one plan share the exchange; a table to be written needs none.
     """
     small_batches(docs.sparkSession)
 
@@ -96,16 +98,19 @@ def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = C
             return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([packed(table)], pa.binary())], names=["chunk", "part", "data"])
 
         def rows() -> Iterator[pa.RecordBatch]:
-            lengths, sequence, keys = number(texts)
+            lengths, sequence, keys, times = number(texts)
             where = parts_of(keys, parts)
             order = np.argsort(where, kind="stable")
             place = np.empty(len(order), dtype=np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
             sequence = place[sequence]
-            counts = np.bincount(sequence[np.repeat(np.array(learn, dtype=bool), lengths)], minlength=len(order))
+            learned = np.repeat(np.array(learn, dtype=bool), lengths)
+            counts = np.bincount(sequence[learned], None if times is None else times[learned], len(order)).astype(np.int64)
             offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
             lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(sequence, pa.int32()))
             table = pa.table({"doc_id": pa.array(ids, pa.int64()), "learn": pa.array(learn, pa.bool_()), "keys": lists})
+            if times is not None:
+                table = table.append_column("times", pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(times, pa.int32())))
             yield row(DOCS, table.replace_schema_metadata({"keys": str(len(order))}))
             ordered = keys.take(pa.array(order))
             starts = np.flatnonzero(np.diff(where[order], prepend=-1))
@@ -127,24 +132,55 @@ def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = C
 
     cells = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce("learn", F.lit(False)).alias("learn")).mapInArrow(cut, SCHEMA)
     # Every reader takes whole rows, so that all share this exchange and texts are cut once.
-    return cells.repartition(F.col("chunk"))
+    return cells.repartition(F.col("chunk")) if exchanged else cells
 
 
-def answered(pieces: DataFrame, answer: Callable[[int, list[pa.Table]], list[pa.Table]]) -> DataFrame:
-    """``answer(part, tables)`` of every part's keys, as rows (chunk, part, data) for the chunks that asked."""
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A filter in Spark would be pushed below the exchange of the chunks, which could then not be shared.
+    for batch in batches:
+        yield batch.filter(pa.compute.not_equal(batch.column(1), DOCS))
+
+
+def answered(pieces: DataFrame, answer: Callable[..., list[pa.Table]], side: DataFrame | None = None) -> DataFrame:
+    """``answer(part, tables)`` of every part's keys, as rows (chunk, part, data) for the chunks that asked.
+
+    With ``side`` (part and more) the rows of the part are a third argument.
+    """
     schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
 
-    def run(rows: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, *more: pa.Table) -> pa.Table:
+        if not len(rows):
+            return schema.empty_table()
         part = rows.column("part")[0].as_py()
-        tables = answer(part, [unpacked(d) for d in rows.column("data").to_pylist()])
+        tables = answer(part, [unpacked(d) for d in rows.column("data").to_pylist()], *more)
         return pa.table([flat(rows.column("chunk")), flat(rows.column("part")), pa.array([packed(t) for t in tables], pa.binary())], schema=schema)
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A filter in Spark would be pushed below the exchange of the chunks, which could then not be shared.
-        for batch in batches:
-            yield batch.filter(pa.compute.not_equal(batch.column(1), DOCS))
+    def pair(rows: pa.Table, more: pa.Table) -> pa.Table:
+        return run(rows, more)
+
+    def single(rows: pa.Table) -> pa.Table:
+        return run(rows)
+
+    keys = pieces.mapInArrow(_keys, SCHEMA).groupBy("part")
+    return keys.applyInArrow(single, SCHEMA) if side is None else keys.cogroup(side.groupBy("part")).applyInArrow(pair, SCHEMA)
+
+
+def summarised(pieces: DataFrame, summary: Callable[[int, list[pa.Table]], pa.Table], schema: str) -> DataFrame:
+    """``summary(part, tables)`` of every part's keys."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        return summary(rows.column("part")[0].as_py(), [unpacked(d) for d in rows.column("data").to_pylist()])
+
+    return pieces.mapInArrow(_keys, SCHEMA).groupBy("part").applyInArrow(run, schema)
+
 
-    return pieces.mapInArrow(keys, SCHEMA).groupBy("part").applyInArrow(run, SCHEMA)
+def totals(tables: list[pa.Table]) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+    """The distinct keys of a part, their counts in all, and the numbers of each table's keys among them."""
+    keys = pa.concat_arrays([flat(t.column("key")) for t in tables]).dictionary_encode()
+    numbers = keys.indices.to_numpy()
+    counts = np.bincount(numbers, np.concatenate([t.column("count").to_numpy() for t in tables]), len(keys.dictionary)).astype(np.int64)
+    ends = np.cumsum([len(t) for t in tables])
+    return keys.dictionary, counts, np.split(numbers, ends[:-1])
 
 
 def reassembled(pieces: DataFrame, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -162,9 +198,9 @@ def reassembled(pieces: DataFrame, answers: DataFrame, finish: Callable[[pa.Tabl
     return pieces.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def each_document(docs: pa.Table) -> Iterator[np.ndarray]:
+def each_document(docs: pa.Table, name: str = "keys") -> Iterator[np.ndarray]:
     """The key numbers of every document."""
-    column = flat(docs.column("keys"))
+    column = flat(docs.column(name))
     numbers, offsets = column.values.to_numpy(), column.offsets.to_numpy()
     for start, end in zip(offsets[:-1], offsets[1:], strict=True):
         yield numbers[start:end]

@@ -77,28 +77,40 @@ def band_ends(largest: int) -> tuple[int, ...]:
     return tuple(ends)
 
 
+def least_filled(end: int) -> int:
+    """Smaller segments of a band are not published: of large sets a single element in common says little."""
+    return 2 if end > 32 else 1
+
+
 def segment_count(end: int) -> int:
     """Segments for a band: the number that costs the fewest signatures for its largest sets.
 
-    More segments than differences plus one leave room for empty ones; the alternative is a one-deletion neighbourhood of
-    the whole set, as often as the empty segments outgrow the room.
+    More segments than differences plus one leave room for those that are not published; the alternative is a one-deletion
+    neighbourhood of the whole set, as often as unpublished segments outgrow the room.
     """
     if end in _COUNTS:
         return _COUNTS[end]
-    size = end - 1
-    least = _most_different(size, True) + 1
+    size, least = end - 1, _most_different(end - 1, True) + 1
 
     def cost(count: int) -> float:
-        empty = count * (1 - 1 / count) ** size
-        room = (count - least + 0.5 - empty) / math.sqrt(empty + 1e-9)
-        return count + size * 0.5 * math.erfc(room / math.sqrt(2))
+        unfilled = count * (1 - 1 / count) ** size
+        if least_filled(end) == 2:
+            unfilled += size * (1 - 1 / count) ** (size - 1)
+        room = (count - least + 0.5 - unfilled) / math.sqrt(unfilled + 1e-9)
+        return count - unfilled + size * 0.5 * math.erfc(room / math.sqrt(2))
 
-    _COUNTS[end] = min(range(least, least + max(8, least // 2)), key=cost)
+    _COUNTS[end] = min(range(least, 2 * least + 8), key=cost)
     return _COUNTS[end]
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures, set numbers): two sets that reach the similarity share one, unless they are equal."""
+    """(signatures, set numbers): two sets that reach the similarity share one, unless they are equal.
+
+    Of a pair that differs in at most d elements, one of any d + 1 segments is equal. So equal segments are enough where a
+    set publishes more segments than it may differ in. Otherwise segments that differ in one element are met through their
+    one-deletion neighbourhoods, and where these do not suffice either, segments of every size are published. Each tier
+    is needed only where both sets lack the ones before, and a set that lacks a tier publishes the next.
+    """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     out, owners = [], []
     if not len(sets) or sizes.max() < 4:
@@ -106,6 +118,7 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.array(band_ends(int(sizes.max())), dtype=np.int64)
     # The first end is that of the sizes without a band.
     counts = np.array([0, *(segment_count(int(e)) for e in ends[1:])], dtype=np.int64)
+    smallest = np.array([0, *(least_filled(int(e)) for e in ends[1:])], dtype=np.int64)
     band = np.searchsorted(ends, sizes, side="right")
     for own in (True, False):
         use = band - (0 if own else 1)
@@ -116,33 +129,35 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
             continue
         elements = np.concatenate([sets[i] for i in chosen])
         each = sizes[chosen]
-        count, bands = counts[use[chosen]], use[chosen]
+        count, bands, need = counts[use[chosen]], use[chosen], smallest[use[chosen]]
         set_row = np.repeat(np.arange(len(chosen)), each)
         segment = ((elements >> np.uint64(32)) * count[set_row].astype(np.uint64)) >> np.uint64(32)
         base = np.concatenate(([0], np.cumsum(count)[:-1]))
         cell = base[set_row] + segment.astype(np.int64)
         starts = np.flatnonzero(np.diff(cell, prepend=-1))
         width = np.diff(np.append(starts, len(cell)))
+        owner = set_row[starts]
         value = mixed_bits(elements)
         sums = np.add.reduceat(value, starts)
-        salt = mixed_bits(segment[starts] + (bands[set_row[starts]].astype(np.uint64) << np.uint64(32)))
-        out.append(mixed_bits(sums ^ salt))
-        owners.append(chosen[set_row[starts]])
-        filled = np.bincount(set_row[starts], minlength=len(chosen))
-        single = np.bincount(set_row[starts[width == 1]], minlength=len(chosen))
+        salt = mixed_bits(segment[starts] + (bands[owner].astype(np.uint64) << np.uint64(32)))
         most = _most_different(each, own)
+        filled = np.bincount(owner[width >= need[owner]], minlength=len(chosen))
+        more = np.bincount(owner[width > need[owner]], minlength=len(chosen))
         short = filled <= most
+        last = short & (filled + more <= most)
+        shown = (width >= need[owner]) | last[owner]
+        out.append(mixed_bits(sums[shown] ^ salt[shown]))
+        owners.append(chosen[owner[shown]])
         if not short.any():
             continue
         cell_row = np.repeat(np.arange(len(starts)), width)
         taken = short[set_row] & (width[cell_row] > 1)
         out.append(mixed_bits((sums[cell_row[taken]] - value[taken]) ^ salt[cell_row[taken]]))
         owners.append(chosen[set_row[taken]])
-        for row in np.flatnonzero(2 * (filled - single) + single <= most):
-            # Empty segments count too: the sum over no elements, for empty segments and those of one element.
+        for row in np.flatnonzero(last):
+            # The sum over no elements, for empty segments and those of one element.
             there = np.ones(count[row], dtype=bool)
-            mine = set_row[starts] == row
-            there[segment[starts[mine & (width > 1)]].astype(np.int64)] = False
+            there[segment[starts[(owner == row) & (width > 1)]].astype(np.int64)] = False
             free = np.flatnonzero(there).astype(np.uint64)
             out.append(mixed_bits(mixed_bits(free + (np.uint64(bands[row]) << np.uint64(32)))))
             owners.append(np.full(len(free), chosen[row]))
@@ -304,11 +319,14 @@ def linked(docs: DataFrame, part_chars: int = PART_CHARS, chunk_chars: int = CHU
     shared = found.filter("signature is not null").select("signature", "id").join(rows.select("id", "node"), "id")
     # One exchange by signature serves all three steps.
     hits = shared.select("signature", "node").repartition(F.col("signature")).distinct()
-    buckets = hits.groupBy("signature").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("signature", "hub")
+    buckets = hits.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     hits = written(hits.join(buckets, "signature"), "hits")
+    # The hub of a bucket is its most central member, of copies of one text most likely that text.
+    central = written(hits.groupBy("node").agg(F.sum("members").alias("central")), "central")
+    hubs = hits.join(central, "node").groupBy("signature").agg(F.max(F.struct("central", "node")).alias("top")).select("signature", F.col("top.node").alias("hub"))
 
     # Each node meets the hub that it shares most signatures with.
-    common = hits.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    common = hits.join(hubs, "signature").filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
     stars = common.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best")).select("node", "best.hub")
     met = stars.alias("p").join(nodes.alias("x"), F.col("p.node") == F.col("x.node")).join(nodes.alias("y"), F.col("p.hub") == F.col("y.node"))
     pairs = written(met.filter(_alike("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import bpe, exact_dedup, jaccard_join, language, mixing, secret_scan, topk, toxicity
+from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, language, mixing, secret_scan, topk, toxicity
 from revlattice.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,13 @@ def toxicity_field(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     return toxicity.train(docs.filter(~held_out()), labels)
 
 
+@query
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("learn", ~held_out(folds=7))
+    scored = class_lm.score(docs)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", topk.integers("embedding").alias("vector"))
