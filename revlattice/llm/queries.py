@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, language, mixing, secret_scan, topk, toxicity
+from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, kneser_ney, language, mixing, secret_scan, topk, toxicity
 from revlattice.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,13 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id")
+    return kneser_ney.classified(docs, labels.filter(~held_out())).withColumn("held_out", held_out())
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
