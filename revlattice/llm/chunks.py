@@ -114,7 +114,7 @@ def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = C
             yield row(DOCS, table.replace_schema_metadata({"keys": str(len(order))}))
             ordered = keys.take(pa.array(order))
             starts = np.flatnonzero(np.diff(where[order], prepend=-1))
-            for start, end in zip(starts, [*starts[1:], len(order)], strict=True):
+            for start, end in zip(starts, np.append(starts[1:], len(order)), strict=False):
                 yield row(int(where[order[start]]), pa.table({"key": ordered[start:end], "count": pa.array(counts[start:end], pa.int64())}))
 
         for batch in batches:
