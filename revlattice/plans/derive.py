@@ -115,9 +115,12 @@ def plan_mrr(t) -> DataFrame:
 
 
 def with_fx_rate(frame: DataFrame, rates: DataFrame, currency: str, on: str, missing: str = "raise") -> DataFrame:
-    """Add ``eur_rate`` of the month of ``on``; EUR is 1, a missing rate raises or stays NULL."""
+    """Add ``eur_rate`` dated the first day of the month of ``on``; EUR is 1, a missing rate raises or stays NULL.
+
+    Rates dated inside a month are not those of the month; date and currency are a rate's key, so no row multiplies.
+    """
     monthly = rates.select(
-        F.col("currency_code").alias("_currency"), month_of("rate_date").alias("_rate_month"), F.col("eur_rate").alias("_rate")
+        F.col("currency_code").alias("_currency"), F.col("rate_date").alias("_rate_month"), F.col("eur_rate").alias("_rate")
     )
     joined = frame.join(
         monthly, (F.col(currency) == F.col("_currency")) & (month_of(on) == F.col("_rate_month")), "left"

@@ -224,7 +224,10 @@ def test_unreadable_text_becomes_null(spark):
 def test_missing_rate_raises_or_stays_null(tables, spark):
     t = tables(
         invoices=[{"invoice_id": "i", "invoice_date": "2024-02-10", "currency_code": "GBP", "total_local": 2}],
-        fx_rates=[{"rate_date": "2024-01-01", "currency_code": "GBP", "eur_rate": "1.2"}],
+        fx_rates=[
+            {"rate_date": "2024-01-01", "currency_code": "GBP", "eur_rate": "1.2"},
+            {"rate_date": "2024-01-15", "currency_code": "GBP", "eur_rate": "7.7"},
+        ],
     )
     with pytest.raises(Exception, match="no rate for GBP"):
         derive.fx_convert(t).collect()
@@ -232,6 +235,15 @@ def test_missing_rate_raises_or_stays_null(tables, spark):
     assert kept.collect()[0]["eur_rate"] is None
 
 
+def test_rate_inside_a_month_neither_counts_nor_multiplies(tables):
+    t = tables(
+        invoices=[{"invoice_id": "i", "invoice_date": "2024-01-20", "currency_code": "GBP", "total_local": 2}],
+        fx_rates=[{"rate_date": f"2024-01-{d}", "currency_code": "GBP", "eur_rate": r} for d, r in (("01", "1.2"), ("15", "7.7"))],
+    )
+    rated = derive.with_fx_rate(t["invoices"], t["fx_rates"], "currency_code", "invoice_date").collect()
+    assert [r["eur_rate"] for r in rated] == [Decimal("1.2")]
+
+
 def test_plan_revenue_formula(tables):
     given = subscribed([("a", "2024-02-01", "2024-12-31", 0, "plan", 8)])
     given["subscriptions"] = [{"subscription_id": "s_a", "account_id": "a", "contract_id": "c", "billing_frequency": "annual"}]
