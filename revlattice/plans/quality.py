@@ -1,8 +1,8 @@
 """Data quality: contract checks on landed text, business rules, controls and reconciliations.
 
-A table is scanned once for all its predicates and emits the ids of the checks
-a row fails, so sound rows cost a scan and nothing more.  Ids of all tables are
-counted in one shuffle; keys are counted before they meet their parent.
+A table is scanned once for all its predicates, which are counted as it is
+read: one row of counts per task is all that moves.  Keys of all tables share
+one shuffle each for uniqueness and for references.
 """
 
 from __future__ import annotations
@@ -41,22 +41,19 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def failing_ids(frame: DataFrame, failing: Sequence[tuple[str, Column | str]]) -> DataFrame:
-    """One row per failed check of each row; sound rows give none.
+def failing_counts(frame: DataFrame, failing: Sequence[tuple[str, Column | str]]) -> DataFrame:
+    """How many rows fail each check: one aggregate over one scan, so no row is made per predicate.
 
-    A predicate is a column or SQL text.
+    A predicate is a column or SQL text; where it is unknown a row does not fail.
     """
-    if all(isinstance(bad, str) for _, bad in failing):
-        cases = ", ".join(f"case when {bad} then '{name}' end" for name, bad in failing)
-        ids = F.expr(f"explode(array({cases}))")
-    else:
-        ids = F.explode(F.array(*(F.when(bad, F.lit(name)) for name, bad in failing)))
-    return frame.select(ids.alias("check_id")).where("check_id is not null")
+    counts = [F.count(F.when(F.expr(bad) if isinstance(bad, str) else bad, 1)).alias(f"_{i}") for i, (_, bad) in enumerate(failing)]
+    cells = ", ".join(f"struct('{name}' as check_id, _{i} as failure_count)" for i, (name, _) in enumerate(failing))
+    return frame.agg(*counts).selectExpr(f"inline(array({cells}))")
 
 
-def _count_ids(frames: Sequence[DataFrame]) -> DataFrame:
-    """Failures per check over all frames, in one shuffle with map-side combine."""
-    return _union(frames).groupBy("check_id").agg(F.count(F.lit(1)).alias("failure_count"))
+def _summed(counted: Sequence[DataFrame]) -> DataFrame:
+    """Failures per check over all frames; each brings one row per check."""
+    return _union(counted).groupBy("check_id").agg(F.sum("failure_count").alias("failure_count"))
 
 
 def _described(counted: DataFrame, checks: Sequence[Check], how: str = "right") -> DataFrame:
@@ -120,14 +117,14 @@ def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tupl
             (f"{table}.{c}.type", type_failure(c, kind)) for c, kind in contract.columns.items() if kind != "string"
         ]
         if typed:
-            frames.append(failing_ids(frame, typed))
+            frames.append(failing_counts(frame, typed))
     schema = (
         "check_id string, table_name string, check_type string, severity string, passed boolean,"
         " failure_count bigint, details string"
     )
     if not frames:
         return landing[tables[0]].sparkSession.createDataFrame(declared, schema)
-    counted = _described(_count_ids(frames), checks)
+    counted = _described(_summed(frames), checks)
     return counted.sparkSession.createDataFrame(declared, schema).unionByName(counted)
 
 
@@ -184,11 +181,13 @@ def _named(counted: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:
     """Rows whose reference has no parent; an empty child gives no check.
 
-    References of all tables meet all parent keys in one join.  Child rows are
-    counted per key before it, so a frequent key is one row.
+    Parents and children of all tables are stacked and grouped by key once, with
+    a count for each reference to the parent, so a frequent key is one row per
+    task and nothing is joined.
     """
-    children, checks = [], []
+    children, checks, slots = [], [], []
     parents: list[str] = []
+    places: dict[str, int] = {}
     for table in tables:
         cells = []
         for number, (column, parent) in enumerate(references_of(table), start=1):
@@ -197,26 +196,33 @@ def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] =
             if parent not in parents:
                 parents.append(parent)
             place = parents.index(parent)
-            cells.append(f"struct({len(checks)} as _check, {place} as _parent, cast({column} as string) as _key)")
+            slot = places.get(parent, 0)
+            places[parent] = slot + 1
+            cells.append(f"struct({place} as _parent, cast({column} as string) as _key, {slot} as _slot)")
             details = f"Foreign key ['{column}'] references {parent}(['{CONTRACTS[parent].key[0]}'])."
             checks.append(Check(f"{table}.fk_{number}", table, "foreign_key", details))
+            slots.append((f"{table}.fk_{number}", place, slot))
         if cells:
             children.append(landing[table].selectExpr(f"inline(array({', '.join(cells)}))"))
-    known = _union(
-        [
-            landing[p].select(F.lit(place).alias("_parent"), F.col(CONTRACTS[p].key[0]).cast("string").alias("_key"))
-            for place, p in enumerate(parents)
-            if p in landing and CONTRACTS[p].key[0] in landing[p].columns
-        ]
-    ).distinct()
-    per_key = _union(children).groupBy("_check", "_parent", "_key").agg(F.count(F.lit(1)).alias("n"))
-    orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
-    counted = (
-        per_key.join(known.withColumn("_found", F.lit(1)), ["_parent", "_key"], "left")
-        .groupBy("_check")
-        .agg(F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("failure_count"))
+    known = [
+        landing[p].select(
+            F.lit(place).alias("_parent"), F.col(CONTRACTS[p].key[0]).cast("string").alias("_key"), F.lit(-1).alias("_slot")
+        )
+        for place, p in enumerate(parents)
+        if p in landing and CONTRACTS[p].key[0] in landing[p].columns
+    ]
+    each = range(max(places.values()))
+    per_key = (
+        _union(children + known)
+        .groupBy("_parent", "_key")
+        .agg(F.max(F.col("_slot") == -1).alias("_found"), *(F.count(F.when(F.col("_slot") == i, 1)).alias(f"n{i}") for i in each))
     )
-    return _described(_named(counted, checks), checks, how="inner")
+    orphan = F.col("_key").isNotNull() & ~F.col("_found")
+    sums = [f(F.col(f"n{i}")).alias(f"{k}{i}") for i in each for k, f in (("all", F.sum), ("bad", lambda n: F.sum(F.when(orphan, n).otherwise(0))))]
+    cells = ", ".join(f"struct({i} as _slot, all{i} as _rows, bad{i} as failure_count)" for i in each)
+    counted = per_key.groupBy("_parent").agg(*sums).selectExpr("_parent", f"inline(array({cells}))").where("_rows > 0")
+    named = counted.sparkSession.createDataFrame(slots, "check_id string, _parent int, _slot int")
+    return _described(counted.join(named, ["_parent", "_slot"]).select("check_id", "failure_count"), checks, how="inner")
 
 
 def _moment(column: str) -> Column:
@@ -299,7 +305,7 @@ def business_check(landing: Mapping[str, DataFrame], failing: Sequence[tuple[Che
     by_table: dict[str, list] = {}
     for check, bad in failing:
         by_table.setdefault(check.table, []).append((check.check_id, bad))
-    counted = _count_ids([failing_ids(landing[table], rules) for table, rules in by_table.items()])
+    counted = _summed([failing_counts(landing[table], rules) for table, rules in by_table.items()])
     return _described(counted, [check for check, _ in failing])
 
 
@@ -316,7 +322,7 @@ def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
     )
     gap = F.abs(to_number("subtotal_local") - F.coalesce("_lines", F.lit(0)))
     joined = landing["invoices"].select("invoice_id", "subtotal_local").join(lines, "invoice_id", "left")
-    return _described(_count_ids([failing_ids(joined, [(check.check_id, gap > _tolerance())])]), [check])
+    return _described(_summed([failing_counts(joined, [(check.check_id, gap > _tolerance())])]), [check])
 
 
 def payment_attempt_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -368,17 +374,14 @@ def integer_guard(landing: Mapping[str, DataFrame], tables: Sequence[str] = tupl
         columns = [c for c, kind in CONTRACTS[table].columns.items() if kind == "integer" and c in landing[table].columns]
         if not columns:
             continue
-        cells = []
-        for c in columns:
+        counts, cells = [], []
+        for i, c in enumerate(columns):
             given, number = F.nullif(F.trim(F.col(c)), F.lit("")).isNotNull(), to_number(c)
-            fault = F.when(given & number.isNull(), "non_numeric").when(number % 1 != 0, "non_integral")
-            cells.append(F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), fault.alias("fault")))
-        frames.append(landing[table].select(F.inline(F.array(*cells))).where(F.col("fault").isNotNull()))
-    return (
-        _union(frames)
-        .groupBy("table_name", "column_name")
-        .agg(*(F.count(F.when(F.col("fault") == kind, 1)).alias(kind) for kind in ("non_numeric", "non_integral")))
-    )
+            counts.append(F.count(F.when(given & number.isNull(), 1)).alias(f"text{i}"))
+            counts.append(F.count(F.when(number % 1 != 0, 1)).alias(f"part{i}"))
+            cells.append(f"struct('{table}' as table_name, '{c}' as column_name, text{i} as non_numeric, part{i} as non_integral)")
+        frames.append(landing[table].agg(*counts).selectExpr(f"inline(array({', '.join(cells)}))"))
+    return _union(frames).where("non_numeric + non_integral > 0")
 
 
 @dataclass(frozen=True)
@@ -721,9 +724,9 @@ def control_results(t) -> DataFrame:
     """Failing rows per control; a predicate that is unknown does not fail."""
     frames, declared = [], []
     for table, frame, controls in _controls(t):
-        frames.append(failing_ids(frame, [(k.control_id, k.bad) for k in controls]))
+        frames.append(failing_counts(frame, [(k.control_id, k.bad) for k in controls]))
         declared += [(k.control_id, table, k.name, k.severity) for k in controls]
-    counted = _count_ids(frames)
+    counted = _summed(frames)
     named = counted.sparkSession.createDataFrame(
         declared, "check_id string, table_name string, control_name string, severity string"
     )
