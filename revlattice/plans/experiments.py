@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlattice.functions.measures import count, divide, rate, summarise, total
@@ -85,10 +85,11 @@ def experiment_decisions(t) -> DataFrame:
 
     Observations are exposure rows with an outcome; arms with fewer than two are skipped.
     """
-    exposures = t["experiment_exposures"].select("assignment_id")
+    exposures = t["experiment_exposures"].groupBy("assignment_id").agg(F.count(F.lit(1)).alias("weight"))
     outcomes = t["experiment_outcomes"].select(
-        "assignment_id", *(F.col(c).cast("double").alias(c) for c in ("primary_outcome", "guardrail_outcome", "revenue_outcome_eur"))
+        "assignment_id", *(F.col(c).cast("decimal(18,6)").alias(c) for c in ("primary_outcome", "guardrail_outcome", "revenue_outcome_eur"))
     )
+    # An outcome counts once per exposure by its weight; long exposure logs multiply no rows.
     observed = (
         t["experiment_assignments"]
         .select("assignment_id", "experiment_id", "variant")
@@ -96,14 +97,23 @@ def experiment_decisions(t) -> DataFrame:
         .join(outcomes, "assignment_id")
     )
 
+    def mean(name: str, column: str) -> Column:
+        of = (F.col("variant") == name) & F.col(column).isNotNull()
+        total = F.sum(F.when(of, F.col(column) * F.col("weight").cast("decimal(12,0)")))
+        return total.cast("double") / F.sum(F.when(of, F.col("weight")))
+
     def arm(name: str) -> list:
-        primary = F.when(F.col("variant") == name, F.col("primary_outcome"))
+        of, x, weight = F.col("variant") == name, F.col("primary_outcome"), F.col("weight").cast("decimal(10,0)")
+        n = F.sum(F.when(of & x.isNotNull(), F.col("weight")))
+        sums, squares = F.sum(F.when(of, x * weight)), F.sum(F.when(of, x * x * weight))
+        # Exact sums, so the result does not depend on the order in which tasks end.
+        spread = squares.cast("decimal(38,12)").cast("double") - sums.cast("double") * sums.cast("double") / n
         return [
-            F.count(primary).alias(f"{name}_n"),
-            F.avg(primary).alias(f"{name}_mean"),
-            F.var_samp(primary).alias(f"{name}_variance"),
-            F.avg(F.when(F.col("variant") == name, F.col("guardrail_outcome"))).alias(f"guardrail_{name}"),
-            F.avg(F.when(F.col("variant") == name, F.col("revenue_outcome_eur"))).alias(f"revenue_{name}"),
+            F.coalesce(n, F.lit(0)).alias(f"{name}_n"),
+            mean(name, "primary_outcome").alias(f"{name}_mean"),
+            F.when(n > 1, F.greatest(spread, F.lit(0.0)) / (n - 1)).alias(f"{name}_variance"),
+            mean(name, "guardrail_outcome").alias(f"guardrail_{name}"),
+            mean(name, "revenue_outcome_eur").alias(f"revenue_{name}"),
         ]
 
     arms = (
