@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Every language owns a raw-content zstandard dictionary made of passages of labelled documents. A text is cut into pieces,
-each piece is compressed with each dictionary, and the language with the fewest bytes in total wins. A narrow margin
+Every language owns a raw-content zstandard dictionary made of passages of labelled documents. A text's letters are cut into
+pieces, each piece is compressed with each dictionary, and the language with the fewest bytes in total wins. A narrow margin
 between the two best is reported as a rejection.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlattice.llm.common import small_batches
@@ -24,6 +24,11 @@ NARROW = 0.02
 SCHEMA = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
 
 
+def letters_only(text: Column | str) -> Column:
+    """Lower-case letters with one blank for all else between them: neither case nor marks tell a language here."""
+    return F.lower(F.regexp_replace(text, r"\P{L}+", " "))
+
+
 def train_dictionaries(labelled: DataFrame, passages: int = PASSAGES, chars: int = PASSAGE_CHARS) -> dict[str, bytes]:
     """A dictionary per language from ``labelled`` (doc_id, text, lang).
 
@@ -31,11 +36,11 @@ def train_dictionaries(labelled: DataFrame, passages: int = PASSAGES, chars: int
     ``chars`` characters each, so at most passages x chars characters per language reach the driver. Rows with a null
     language or without a letter teach nothing.
     """
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", letters_only("text").alias("text"))
     at = F.lit(1) + F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.length("text") - chars, F.lit(1)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "passage")
     rows = (
-        labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("lang", "doc_id", F.substring("text", at.cast("int"), F.lit(chars)).alias("passage"))
+        labelled.select("lang", "doc_id", F.substring("text", at.cast("int"), F.lit(chars)).alias("passage"))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= passages)
         .groupBy("lang")
@@ -89,5 +94,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = NA
                 names=["doc_id", "lang_pred", "score", "margin", "rejected"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    rows = docs.select(F.col("doc_id").cast("long"), letters_only("text").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     return rows.mapInArrow(predict, SCHEMA)
