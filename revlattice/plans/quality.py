@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlattice.contracts import CONTRACTS, references_of
+from revlattice.contracts import CONTRACTS, WHOLE_NUMBER, references_of
 from revlattice.operators.intervals import overlapping_pairs
 from revlattice.plans.billing import invoice_reconciliation
 from revlattice.plans.reports import to_number
@@ -75,7 +75,8 @@ def _described(counted: DataFrame, checks: Sequence[Check], how: str = "right")
 
 # What makes non-null text unreadable as a logical type; {c} is the column as text.
 _UNREADABLE = {
-    "integer": "coalesce(try_cast(trim({c}) as decimal(38,6)) % 1 <> 0, true)",
+    # As the cast reads it: digits, and zeros only behind a point.
+    "integer": "not (trim({c}) rlike '" + WHOLE_NUMBER + "') or try_cast(try_cast(trim({c}) as decimal(38,6)) as bigint) is null",
     "decimal": "try_cast(trim({c}) as decimal(38,6)) is null",
     "date": "try_cast(trim({c}) as timestamp_ntz) is null",
     "timestamp": "try_cast(trim({c}) as timestamp_ntz) is null",
@@ -87,7 +88,7 @@ def type_failure(column: str, logical: str) -> str:
     """SQL text that is true where a non-null value does not read as the logical type."""
     if logical == "string":
         return "false"
-    return f"({column} is not null and {_UNREADABLE[logical].format(c=f'cast({column} as string)')})"
+    return f"({column} is not null and ({_UNREADABLE[logical].format(c=f'cast({column} as string)')}))"
 
 
 def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tuple(CONTRACTS)) -> DataFrame:

@@ -139,3 +139,11 @@ def test_gate(spark):
 def test_contract_export(tmp_path):
     export_contracts(tmp_path)
     assert len(list(tmp_path.glob("*.json"))) == 42
+
+
+def test_whole_numbers_are_what_the_cast_reads(spark):
+    from revlattice.plans.quality import type_failure
+
+    rows = [("1", False), ("-3.000", False), ("1.0000000001", True), ("2.5", True), ("1e3", True), ("x", True), ("9" * 20, True), (None, False)]
+    frame = spark.createDataFrame(rows, "n string, bad boolean")
+    assert frame.selectExpr(f"{type_failure('n', 'integer')} as got", "bad").where("got <> bad").isEmpty()
