@@ -140,15 +140,24 @@ def overlapping_pairs(
 def valid_on(facts: DataFrame, rules: DataFrame, keys: Sequence[str], on: str, start: str, end: str) -> DataFrame:
     """Attach the rule row whose interval contains ``facts.on``; facts without one keep NULLs.
 
+    Where intervals of one key share a day, the rule that starts last is in
+    force, of those the greatest by its other columns, so no fact multiplies.
+    The rules are cut into stretches with one rule each before facts meet them.
     ``rules`` is a price list or similar reference table.  Spark broadcasts it
     while its measured size allows and falls back to a sort-merge join beyond.
     """
-    condition = [facts[k] == rules[k] for k in keys]
-    condition += [facts[on] >= rules[start], facts[on] <= rules[end]]
-    matched = facts.join(rules, condition, "left")
-    for k in keys:
-        matched = matched.drop(rules[k])
-    return matched
+    others = [c for c in rules.columns if c not in (*keys, start, end)]
+    listed = rules.select(*keys, F.struct(start, end, *others).alias("_rule")).where(f"_rule.{start} <= _rule.{end}")
+    bounds = listed.select(*keys, F.explode(F.array(f"_rule.{start}", F.date_add(f"_rule.{end}", 1))).alias("_from"))
+    following = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
+    stretches = bounds.distinct().withColumn("_before", following).where("_before is not null")
+    inside = F.col("_from").between(F.col(f"_rule.{start}"), F.col(f"_rule.{end}"))
+    chosen = stretches.join(listed, keys).where(inside).groupBy(*keys, "_from", "_before").agg(F.max("_rule").alias("_rule"))
+    condition = [facts[k] == chosen[k] for k in keys]
+    condition += [facts[on] >= chosen["_from"], facts[on] < chosen["_before"]]
+    return facts.join(chosen, condition, "left").select(
+        *(facts[c] for c in facts.columns), *(chosen[f"_rule.{c}"].alias(c) for c in (start, end, *others))
+    )
 
 
 def latest_before(

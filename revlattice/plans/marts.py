@@ -77,7 +77,8 @@ def subscription_monthly(t) -> DataFrame:
     items = _item_spans(t, t["plans"].select("plan_id", "plan_name"))
     spans = summarise(items, ["subscription_id", *_SPAN], measures)
     owned = spans.join(t["subscriptions"].select("subscription_id", "account_id"), "subscription_id")
-    months = expand_months(owned, "first_month", "last_month")
+    # Expanded rows stay where their subscription is, however the join was made.
+    months = expand_months(owned.repartition("subscription_id"), "first_month", "last_month")
     return summarise(months, ["month_start", "subscription_id", "account_id"], measures)
 
 
@@ -464,7 +465,11 @@ def sales_funnel_account(t) -> DataFrame:
 
     Children of different kinds never share a row, so an account with many
     opportunities and many subscriptions adds their number, not their product.
-    Distinct counts over these rows equal those over the multiplied form.
+    What a row's own child cannot say, its account does: off lead rows
+    ``reached_mql`` and ``reached_sql`` tell whether any lead of the account got
+    there, and ``has_won``, ``became_customer`` and ``first_subscription_date``
+    hold for the account on every row.  Distinct counts under flags of two kinds
+    of children thus equal those over the multiplied form.
     """
     columns = {
         "lead_id": t["leads"],
@@ -476,12 +481,13 @@ def sales_funnel_account(t) -> DataFrame:
     }
     source = {"opportunity_status": "status"}
     types = {c: f.schema[source.get(c, c)].dataType for c, f in columns.items()}
+    unknown = F.lit(None).cast("boolean")
 
-    def children(frame: DataFrame, mql: Column = F.lit(False), sql: Column = F.lit(False), **present: str) -> DataFrame:
+    def children(frame: DataFrame, mql: Column = unknown, sql: Column = unknown, **present: str) -> DataFrame:
         return frame.select(
             "account_id",
-            mql.alias("reached_mql"),
-            sql.alias("reached_sql"),
+            mql.alias("_mql"),
+            sql.alias("_sql"),
             *(
                 (F.col(present[c]) if c in present else F.lit(None).cast(types[c])).alias(c)
                 for c in columns
@@ -508,23 +514,55 @@ def sales_funnel_account(t) -> DataFrame:
             )
         )
     )
-    accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
+    told = rows.groupBy("account_id").agg(
+        F.bool_or("_mql").alias("_any_mql"),
+        F.bool_or("_sql").alias("_any_sql"),
+        F.bool_or(F.col("opportunity_status") == "won").alias("_won"),
+        F.bool_or(F.col("subscription_id").isNotNull()).alias("_customer"),
+        F.min("subscription_start_date").alias("first_subscription_date"),
+    )
+    accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS).join(told, "account_id", "left")
     # An inner join may split a frequent account among tasks, an outer one could not.
-    owned = rows.join(accounts, "account_id")
-    childless = accounts.join(rows.select("account_id").distinct(), "account_id", "left_anti")
+    owned = rows.join(accounts.where("_customer is not null"), "account_id")
+    childless = accounts.where("_customer is null")
+    flag = lambda *columns: F.coalesce(*columns, F.lit(False))
     return owned.unionByName(childless, allowMissingColumns=True).select(
         "account_id",
         *ACCOUNT_DIMENSIONS,
         "lead_id",
-        F.coalesce("reached_mql", F.lit(False)).alias("reached_mql"),
-        F.coalesce("reached_sql", F.lit(False)).alias("reached_sql"),
+        flag("_mql", "_any_mql").alias("reached_mql"),
+        flag("_sql", "_any_sql").alias("reached_sql"),
         "opportunity_id",
         "opportunity_status",
         "expected_arr_eur",
         "subscription_id",
         "subscription_start_date",
-        F.col("subscription_id").isNotNull().alias("became_customer"),
+        flag("_customer").alias("became_customer"),
+        flag("_won").alias("has_won"),
+        "first_subscription_date",
+    )
+
+
+def sales_funnel_crossings(t) -> DataFrame:
+    """Accounts, leads and opportunities by segment that meet conditions on children of two kinds."""
+    won = F.col("opportunity_status") == "won"
+    crossings = {
+        "mql_accounts_with_win": ("account_id", F.col("reached_mql") & won),
+        "sql_customers": ("account_id", F.col("reached_sql") & F.col("became_customer")),
+        "won_opportunities_of_mql": ("opportunity_id", F.col("reached_mql") & won),
+        "mql_leads_of_customers": ("lead_id", F.col("reached_mql") & F.col("became_customer")),
+        "sql_leads_with_win": ("lead_id", F.col("reached_sql") & F.col("has_won")),
+        "winners_without_subscription": ("account_id", won & ~F.col("became_customer")),
+    }
+    rows = sales_funnel_account(t)
+    # One row per account first: its own children are distinct there, so counts of them add up.
+    per_account = rows.groupBy("segment", "account_id").agg(
+        *(
+            (F.max(F.when(when, 1).otherwise(0)) if key == "account_id" else F.count(F.when(when, F.col(key)))).alias(name)
+            for name, (key, when) in crossings.items()
+        )
     )
+    return per_account.groupBy("segment").agg(*(F.sum(name).alias(name) for name in crossings))
 
 
 def assignment_results(t) -> DataFrame:

@@ -47,8 +47,9 @@ def mrr_snapshot(t) -> DataFrame:
     owned = reduced.join(t["subscriptions"].select("subscription_id", "account_id"), "subscription_id", "left").join(
         t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS), "account_id", "left"
     )
+    # The spans of a frequent account spread over its subscriptions before they become months.
     return summarise(
-        expand_months(owned, "first_month", "last_month", "month"),
+        expand_months(owned.repartition("subscription_id"), "first_month", "last_month", "month"),
         ["month", "subscription_id", "account_id", *ACCOUNT_DIMENSIONS],
         [total("mrr_eur", "mrr_eur"), total("recurring_items", "recurring_items")],
     )

@@ -255,28 +255,59 @@ query(
     marts.invoice_payment_summary,
     "select * from {mart:invoice_payment}",
 )
-_ACCOUNT = "a.account_id, a.country_code, a.region_id, a.segment, a.sales_motion, a.acquisition_channel"
+_FUNNEL = """
+    select a.account_id, a.country_code, a.region_id, a.segment, a.sales_motion, a.acquisition_channel, l.lead_id,
+           (l.mql_at is not null) as reached_mql, (l.sql_at is not null) as reached_sql, o.opportunity_id,
+           o.status as opportunity_status, o.expected_arr_eur, s.subscription_id, s.subscription_start_date,
+           (s.subscription_id is not null) as became_customer
+    from {accounts} a left join {leads} l using (account_id) left join {opportunities} o using (account_id)
+    left join {subscriptions} s using (account_id)"""
+_ACCOUNT = "account_id, country_code, region_id, segment, sales_motion, acquisition_channel"
+_TOLD = (
+    "became_customer, coalesce(bool_or(opportunity_status = 'won'), false) as has_won,"
+    " min(subscription_start_date) as first_subscription_date"
+)
+_ANY = "bool_or(reached_mql) as reached_mql, bool_or(reached_sql) as reached_sql"
 query(
     "sales_funnel_account",
     "bigint: account_id; string: country_code region_id segment sales_motion acquisition_channel; bigint: lead_id;"
     " boolean: reached_mql reached_sql; bigint: opportunity_id; string: opportunity_status; double: expected_arr_eur;"
-    " bigint: subscription_id; date: subscription_start_date; boolean: became_customer",
+    " bigint: subscription_id; date: subscription_start_date; boolean: became_customer has_won;"
+    " date: first_subscription_date",
     marts.sales_funnel_account,
-    f"""select {_ACCOUNT}, l.lead_id, l.mql_at is not null as reached_mql, l.sql_at is not null as reached_sql,
-               null as opportunity_id, null as opportunity_status, null as expected_arr_eur, null as subscription_id,
-               null as subscription_start_date, false as became_customer
-        from {{accounts}} a join {{leads}} l on l.account_id = a.account_id
+    f"""with r as ({_FUNNEL})
+        select {_ACCOUNT}, lead_id, reached_mql, reached_sql, null as opportunity_id, null as opportunity_status,
+               null as expected_arr_eur, null as subscription_id, null as subscription_start_date, {_TOLD}
+        from r where lead_id is not null group by {_ACCOUNT}, lead_id, reached_mql, reached_sql, became_customer
         union all
-        select {_ACCOUNT}, null, false, false, o.opportunity_id, o.status, o.expected_arr_eur, null, null, false
-        from {{accounts}} a join {{opportunities}} o on o.account_id = a.account_id
+        select {_ACCOUNT}, null, {_ANY}, opportunity_id, opportunity_status, expected_arr_eur, null, null, became_customer,
+               (select coalesce(bool_or(o.status = 'won'), false) from {{opportunities}} o where o.account_id = r.account_id),
+               min(subscription_start_date)
+        from r where opportunity_id is not null
+        group by {_ACCOUNT}, opportunity_id, opportunity_status, expected_arr_eur, became_customer
         union all
-        select {_ACCOUNT}, null, false, false, null, null, null, s.subscription_id, s.subscription_start_date, true
-        from {{accounts}} a join {{subscriptions}} s on s.account_id = a.account_id
+        select {_ACCOUNT}, null, {_ANY}, null, null, null, subscription_id, subscription_start_date, became_customer,
+               coalesce(bool_or(opportunity_status = 'won'), false),
+               (select min(s.subscription_start_date) from {{subscriptions}} s where s.account_id = r.account_id)
+        from r where subscription_id is not null group by {_ACCOUNT}, subscription_id, subscription_start_date, became_customer
         union all
-        select {_ACCOUNT}, null, false, false, null, null, null, null, null, false from {{accounts}} a
-        where a.account_id not in (select account_id from {{leads}})
-          and a.account_id not in (select account_id from {{opportunities}})
-          and a.account_id not in (select account_id from {{subscriptions}})""",
+        select {_ACCOUNT}, null, false, false, null, null, null, null, null, false, false, null from r
+        where lead_id is null and opportunity_id is null and subscription_id is null""",
+)
+_CROSSINGS = {
+    "mql_accounts_with_win": ("account_id", "reached_mql and opportunity_status = 'won'"),
+    "sql_customers": ("account_id", "reached_sql and became_customer"),
+    "won_opportunities_of_mql": ("opportunity_id", "reached_mql and opportunity_status = 'won'"),
+    "mql_leads_of_customers": ("lead_id", "reached_mql and became_customer"),
+    "sql_leads_with_win": ("lead_id", "reached_sql and opportunity_status = 'won'"),
+    "winners_without_subscription": ("account_id", "opportunity_status = 'won' and not became_customer"),
+}
+query(
+    "sales_funnel_crossings",
+    f"string: segment; bigint: {' '.join(_CROSSINGS)}",
+    marts.sales_funnel_crossings,
+    f"select segment, {', '.join(f'count(distinct {k}) filter (where {w}) as {c}' for c, (k, w) in _CROSSINGS.items())}"
+    f" from ({_FUNNEL}) r group by segment",
 )
 _ARM = "string: experiment_id experiment_name variant"
 _MEANS = "primary_mean guardrail_mean average_revenue_outcome_eur"

@@ -265,3 +265,16 @@ def test_plan_revenue_formula(tables):
     row = derive.plan_mrr(tables(**given)).collect()[0]
     assert row["gross_mrr"] == Decimal("117.000000")
     assert row["plan_mrr"] == Decimal("99.450000")
+
+
+def test_of_rules_sharing_a_day_the_last_to_start_is_in_force(spark):
+    rules = spark.createDataFrame(
+        [("a", 1, 100, "base"), ("a", 50, 60, "sale"), ("a", 100, 120, "next"), ("a", 110, 120, "n1"), ("a", 110, 120, "n2")],
+        "k string, s int, e int, p string",
+    ).selectExpr("k", "date_add(date '2024-01-01', s) s", "date_add(date '2024-01-01', e) e", "p")
+    facts = spark.createDataFrame([("a", d) for d in (0, 1, 49, 50, 60, 61, 99, 100, 109, 110, 120, 121)], "k string, n int")
+    got = valid_on(facts.selectExpr("*", "date_add(date '2024-01-01', n) d"), rules, ["k"], "d", "s", "e").collect()
+    assert {r["n"]: r["p"] for r in got} == {
+        0: None, 1: "base", 49: "base", 50: "sale", 60: "sale", 61: "base", 99: "base", 100: "next", 109: "next",
+        110: "n2", 120: "n2", 121: None,
+    } and len(got) == 12
