@@ -121,7 +121,13 @@ _ACCOUNT_MONTH = (
 )
 
 
+#: Marts that ``write_marts`` stores once per run; plans read them where the tables hold them under these names.
+STORED = ("mart_account_mrr_monthly", "mart_mrr_movements", "mart_account_month")
+
+
 def account_mrr_monthly(t) -> DataFrame:
+    if STORED[0] in t:
+        return t[STORED[0]]
     return _with_plan_name(t, _account_months(t)).select(*_ACCOUNT_MONTH)
 
 
@@ -218,6 +224,8 @@ _MOVEMENT = ("month_start", "account_id", "previous_mrr", "mrr_eur", "movement_m
 
 
 def mrr_movements(t) -> DataFrame:
+    if STORED[1] in t:
+        return t[STORED[1]]
     return with_movement(account_mrr_complete(t).select("month_start", "account_id", "mrr_eur")).select(*_MOVEMENT)
 
 
@@ -361,21 +369,20 @@ def account_month(t, *facts: str, extra: dict[str, DataFrame] | None = None) ->
     """
     accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
     added = [c for name in facts for c in FACTS[name]]
-    return (
-        _with_plan_name(t, account_grid(t, *facts, extra=extra))
-        .join(accounts, "account_id")
-        .select(
-            "month_start",
-            "account_id",
-            *ACCOUNT_DIMENSIONS,
-            "mrr_eur",
-            "paid_seats",
-            "active_add_ons",
-            "primary_plan_name",
-            *added,
-            *(extra or {}),
-        )
-    )
+    columns = [
+        "month_start",
+        "account_id",
+        *ACCOUNT_DIMENSIONS,
+        "mrr_eur",
+        "paid_seats",
+        "active_add_ons",
+        "primary_plan_name",
+        *added,
+    ]
+    if STORED[2] in t and not extra:
+        return t[STORED[2]].select(*columns)
+    grid = _with_plan_name(t, account_grid(t, *facts, extra=extra))
+    return grid.join(accounts, "account_id").select(*columns, *(extra or {}))
 
 
 def latest_month(t) -> Column:

@@ -71,8 +71,8 @@ METRICS = {
     "M011": "mrr_by_geography",
     "M012": "mrr_by_segment",
     "M013": "add_on_attachment",
-    "M014": "trial_conversion",
-    "M015": "opportunity_win_rate",
+    "M014": "trial_to_paid",
+    "M015": "closed_win_rate",
     "M016": "sales_cycle",
     "M017": "marketing_efficiency",
     "M018": "seat_utilisation",
@@ -85,7 +85,7 @@ METRICS = {
     "M025": "onboarding_completion",
     "M026": "account_health_score",
     "M027": "renewal_risk",
-    "M028": "renewal_pipeline",
+    "M028": "renewal_rate",
     **{f"M{i:03d}": "support_service_levels" for i in range(29, 33)},
     "M033": "nps",
     "M034": "payment_success",

@@ -354,6 +354,18 @@ def validate(landing: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+class GateClosed(RuntimeError):
+    """Contract checks of error severity failed."""
+
+
+def require(landing: Mapping[str, DataFrame]) -> None:
+    """Raise ``GateClosed`` unless the landed tables pass the gate; there is one result per check, however many rows."""
+    failed = validate(landing).where("severity = 'error' and not passed").select("check_id", "failure_count").collect()
+    if failed:
+        told = ", ".join(f"{r['check_id']} ({r['failure_count']})" for r in sorted(failed))
+        raise GateClosed(f"{len(failed)} checks failed: {told}")
+
+
 def gate(results: DataFrame) -> DataFrame:
     """Whether loading may go on: some results exist and no error-severity check failed."""
     blocking = F.col("severity") == "error"

@@ -16,6 +16,7 @@ from revlattice.plans import (
     derive,
     executive,
     experiments,
+    governed,
     kpis,
     marts,
     product,
@@ -130,22 +131,32 @@ query(
     )
     + ") g where non_numeric + non_integral > 0",
 )
+_PRINT_KINDS = {"integer": "bigint", "decimal": "decimal(20,6)", "string": "varchar"}
+
+
+def _fingerprint(table: str) -> str:
+    texts = (f"cast(cast({c} as {_PRINT_KINDS.get(k, k)}) as varchar)" for c, k in CONTRACTS[table].columns.items())
+    told = " || ',' || ".join(f"coalesce(length({x}) || ':' || {x}, 'N')" for x in texts)
+    return (
+        f"select '{table}' as table_name, count(*) as rows, sum(d) as digest_sum, bit_xor(d) as digest_xor"
+        f" from (select cast('0x' || substr(md5({told}), 1, 15) as bigint) as d from {{{table}}}) f"
+    )
+
+
+_FINGERPRINTS = " union all ".join(_fingerprint(t) for t in CONTRACTS)
+_LISTED_COLUMNS = ", ".join(f"('{t}', '{','.join(k.columns)}')" for t, k in CONTRACTS.items())
 query(
     "dataset_manifest",
-    "string: table_name file columns; bigint: rows total_rows",
-    lambda t: sources.dataset_manifest(t, digests=False),
-    "select *, sum(rows) over () as total_rows from ("
-    + " union all ".join(
-        f"select '{t}' as table_name, '{t}.csv' as file, '{','.join(k.columns)}' as columns, count(*) as rows from {{{t}}}"
-        for t, k in CONTRACTS.items()
-    )
-    + ") m",
+    "string: table_name file columns; bigint: rows total_rows; string: digest_sum; bigint: digest_xor",
+    sources.dataset_manifest,
+    "select f.*, f.table_name || '.csv' as file, c.columns, sum(f.rows) over () as total_rows"
+    f" from ({_FINGERPRINTS}) f join (values {_LISTED_COLUMNS}) c(name, columns) on c.name = f.table_name",
 )
 query(
     "table_fingerprint",
     "string: table_name; bigint: rows; string: digest_sum; bigint: digest_xor",
     sources.table_fingerprints,
-    None,
+    _FINGERPRINTS,
 )
 query(
     "accounts_enriched",
@@ -1644,3 +1655,41 @@ query(
                    from {{renewals}} n join {{subscriptions}} s using (subscription_id) join {{accounts}} a using (account_id)
                    group by 1) r using (region_id)""",
 )
+
+# --- governed rates --------------------------------------------------------------------------
+
+query(
+    "trial_to_paid",
+    "date: cohort_month; bigint: eligible_accounts paid_after_trial; double: trial_to_paid_rate",
+    governed.trial_to_paid,
+    f"""select {month('created_at')} as cohort_month, count(*) as eligible_accounts, {n('tried')} as paid_after_trial,
+               {ratio(n('tried'), 'count(*)')} as trial_to_paid_rate
+        from (select *, account_id in (select account_id from {{subscriptions}} where trial_start_date is not null) as tried
+              from {{accounts}}) a
+        where sales_motion = 'self_service' or tried group by 1""",
+)
+query(
+    "closed_win_rate",
+    "date: month_start; string: region_id segment; bigint: closed won; double: closed_win_rate",
+    governed.closed_win_rate,
+    f"""select {month('close_date')} as month_start, region_id, segment, count(*) as closed, {n("status = 'won'")} as won,
+               {ratio(n("status = 'won'"), 'count(*)')} as closed_win_rate
+        from {{opportunities}} join {{accounts}} using (account_id) where status in ('won', 'lost') group by 1, 2, 3""",
+)
+query(
+    "renewal_rate",
+    "date: renewal_month; bigint: decided renewed; double: renewal_rate",
+    governed.renewal_rate,
+    f"""select {month('renewal_due_date')} as renewal_month, count(*) as decided, {n("renewal_status = 'renewed'")} as renewed,
+               {ratio(n("renewal_status = 'renewed'"), 'count(*)')} as renewal_rate
+        from {{renewals}} where decision_date is not null
+          and subscription_id in (select subscription_id from {{subscriptions}} where billing_frequency = 'annual') group by 1""",
+)
+_SCORED = """(select * replace (case when nps_score >= 9 then 'promoter' when nps_score >= 7 then 'passive'
+                                when nps_score is not null then 'detractor' end as nps_group) from {nps_responses})"""
+query(
+    "nps_by_score",
+    f"{_PLACE}; bigint: responses; double: average_score nps; string: leading_comment_theme",
+    governed.nps_by_score,
+    QUERIES["nps"].oracle.replace("{nps_responses}", _SCORED),
+)
