@@ -254,26 +254,27 @@ def _rule(check_id: str, table: str, details: str) -> Check:
     return Check(check_id, table, "business_rule", details)
 
 
+# The ids, tables and numeric bounds of the rules.
 BUSINESS_RULES = (
-    _rule("subscriptions.date_order", "subscriptions", "Trial start cannot be after paid subscription start."),
-    _rule("subscriptions.end_after_start", "subscriptions", "Subscription end cannot precede subscription start."),
+    _rule("subscriptions.date_order", "subscriptions", "A trial begins no later than the paid subscription."),
+    _rule("subscriptions.end_after_start", "subscriptions", "A subscription does not end before it starts."),
     _rule(
         "subscription_items.valid_interval",
         "subscription_items",
-        "Subscription item effective end must not precede effective start.",
+        "An item is in force for at least a day.",
     ),
-    _rule("subscription_items.non_negative_mrr", "subscription_items", "Recurring item MRR cannot be negative."),
-    _rule("invoices.arithmetic", "invoices", "Invoice subtotal plus tax must reconcile to total."),
-    _rule("invoice_lines.non_negative", "invoice_lines", "Invoice line totals cannot be negative."),
-    _rule("payment_attempts.positive_amount", "payment_attempts", "Payment attempt amount must be positive."),
-    _rule("payments.positive_amount", "payments", "Captured payment amount must be positive."),
-    _rule("usage.non_negative", "account_usage_daily", "Usage counts cannot be negative."),
+    _rule("subscription_items.non_negative_mrr", "subscription_items", "Recurring revenue of an item is zero or more."),
+    _rule("invoices.arithmetic", "invoices", "Subtotal and tax add up to the total of the invoice."),
+    _rule("invoice_lines.non_negative", "invoice_lines", "The total of an invoice line is zero or more."),
+    _rule("payment_attempts.positive_amount", "payment_attempts", "An attempt asks for more than zero."),
+    _rule("payments.positive_amount", "payments", "A captured payment is more than zero."),
+    _rule("usage.non_negative", "account_usage_daily", "Counts of usage are zero or more."),
     _rule(
-        "work_orders.completed_chronology", "work_orders", "Completed work orders cannot complete before creation."
+        "work_orders.completed_chronology", "work_orders", "A work order is completed no earlier than it was created."
     ),
-    _rule("support.resolution_chronology", "support_tickets", "Support tickets cannot resolve before creation."),
-    _rule("health.score_range", "account_health_history", "Account health score must be between 0 and 100."),
-    _rule("nps.score_range", "nps_responses", "NPS score must be between 0 and 10."),
+    _rule("support.resolution_chronology", "support_tickets", "A ticket is resolved no earlier than it was opened."),
+    _rule("health.score_range", "account_health_history", "Health scores lie in 0..100."),
+    _rule("nps.score_range", "nps_responses", "Answers to the recommendation question lie in 0..10."),
 )
 
 
@@ -316,28 +317,36 @@ def business_rule_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
-    """Invoices whose subtotal differs from the sum of their lines; no lines count as zero."""
+    """Invoices whose subtotal differs from the sum of their lines; no lines count as zero, no invoices give no check."""
     lines = landing["invoice_lines"].groupBy("invoice_id").agg(F.sum(to_number("line_total_local")).alias("_lines"))
     check = Check(
-        "invoices.lines_reconcile", "invoices", "reconciliation", "Invoice subtotal reconciles to invoice lines."
+        "invoices.lines_reconcile", "invoices", "reconciliation", "The lines of an invoice add up to its subtotal."
     )
     gap = F.abs(to_number("subtotal_local") - F.coalesce("_lines", F.lit(0)))
     joined = landing["invoices"].select("invoice_id", "subtotal_local").join(lines, "invoice_id", "left")
-    return _described(_summed([failing_counts(joined, [(check.check_id, gap > _tolerance())])]), [check])
+    counted = joined.agg(F.count("*").alias("_rows"), F.count(F.when(gap > _tolerance(), 1)).alias("failure_count"))
+    return _reconciled(counted, check)
+
+
+def _reconciled(counted: DataFrame, check: Check) -> DataFrame:
+    """A check between two tables from its one row of counts; it is not made where there are no rows to check."""
+    made = counted.where("_rows > 0").select(F.lit(check.check_id).alias("check_id"), "failure_count")
+    return _described(made, [check], how="inner")
 
 
 def payment_attempt_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
-    """Payments without a succeeded attempt."""
+    """Payments without a succeeded attempt; no payments give no check."""
     payments = landing["payments"].groupBy("payment_attempt_id").agg(F.count(F.lit(1)).alias("n"))
     succeeded = landing["payment_attempts"].where("attempt_status = 'succeeded'").select("payment_attempt_id")
     check = Check(
         "payments.successful_attempt",
         "payments",
         "reconciliation",
-        "Every captured payment references a successful payment attempt.",
+        "A payment stems from an attempt that succeeded.",
     )
-    counted = payments.join(succeeded, "payment_attempt_id", "left_anti").agg(F.sum("n").alias("failure_count"))
-    return _described(counted.withColumn("check_id", F.lit(check.check_id)), [check])
+    known = payments.join(succeeded.distinct().withColumn("_known", F.lit(True)), "payment_attempt_id", "left")
+    failed = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
+    return _reconciled(known.agg(F.sum("n").alias("_rows"), failed.alias("failure_count")), check)
 
 
 def validate(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -405,6 +414,7 @@ class Control:
     severity: str = "error"
 
 
+# The control ids and names.
 def _controls(t) -> list[tuple[str, DataFrame, list[Control]]]:
     """Controls grouped by the frame that is scanned once for all of them."""
     c = F.col

@@ -1135,7 +1135,7 @@ _LINES_SQL = _check_row(
     "invoices",
     "reconciliation",
     n(f"abs({_num('subtotal_local')} - coalesce(lines, 0)) > 0.02"),
-    "Invoice subtotal reconciles to invoice lines.",
+    "The lines of an invoice add up to its subtotal.",
     f" from {{text:invoices}} left join (select invoice_id, sum({_num('line_total_local')}) as lines"
     " from {text:invoice_lines} group by 1) l using (invoice_id)",
 )
@@ -1144,7 +1144,7 @@ _ATTEMPT_SQL = _check_row(
     "payments",
     "reconciliation",
     n("ok is null"),
-    "Every captured payment references a successful payment attempt.",
+    "A payment stems from an attempt that succeeded.",
     " from {text:payments} p left join (select payment_attempt_id, true as ok from {text:payment_attempts}"
     " where attempt_status = 'succeeded') s using (payment_attempt_id)",
 )

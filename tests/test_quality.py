@@ -147,3 +147,8 @@ def test_whole_numbers_are_what_the_cast_reads(spark):
     rows = [("1", False), ("-3.000", False), ("1.0000000001", True), ("2.5", True), ("1e3", True), ("x", True), ("9" * 20, True), (None, False)]
     frame = spark.createDataFrame(rows, "n string, bad boolean")
     assert frame.selectExpr(f"{type_failure('n', 'integer')} as got", "bad").where("got <> bad").isEmpty()
+
+
+def test_reconciliations_are_not_made_without_rows(texts):
+    t = texts()
+    assert not quality.invoice_line_checks(t).count() and not quality.payment_attempt_checks(t).count()
