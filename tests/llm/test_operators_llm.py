@@ -267,6 +267,35 @@ def test_exchange_raises_the_likelihood():
     assert found > likelihood(start) and found >= likelihood(group) - 1e-6
 
 
+def test_words_move_by_their_own_neighbours(spark):
+    texts = [f"left u{i}ing right" for i in range(20)] + [f"up v{i}ing down" for i in range(20)]
+    rows = [(i, t, True) for i, t in enumerate(texts * 3)] + [(900, "left u3ing right", False), (901, "left v3ing right", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    scores = {r["doc_id"]: r for r in class_lm.score(docs, frequent=5, classes=8, parts=3, chunk_chars=2000).collect()}
+    # Words of one ending and count, which only their neighbours tell apart.
+    assert scores[900]["base_score"] == scores[901]["base_score"] and scores[900]["score"] > scores[901]["score"] + 0.5
+
+
+def test_a_word_moves_where_the_likelihood_is_largest():
+    rng = np.random.default_rng(0)
+    said, classes = rng.integers(0, 12, 300), 4
+    said[50:60] = 3
+    last, old = np.roll(said, 1), rng.integers(0, classes, 12)
+
+    def table(of):
+        return np.bincount(of[last] * classes + of[said], minlength=classes**2).reshape(classes, classes).astype(float)
+
+    def side(word, own, near):
+        values, n = np.unique(old[near[own == word]], return_counts=True)
+        return np.zeros(len(values), int), values, n
+
+    for word in range(12):
+        selves = np.array([((said == word) & (last == word)).sum()])
+        new = class_lm.exchanged(old[[word]], side(word, said, last), side(word, last, said), selves, table(old))[0]
+        found = [class_lm.likelihood(table(np.where(np.arange(12) == word, c, old))) for c in range(classes)]
+        assert abs(found[new] - max(found)) < 1e-6
+
+
 def test_kneser_ney(spark, odd, none, corpus):
     trusted = spark.createDataFrame([(i,) for i in range(0, 120, 2)] + [(None,)], "doc_id long")
     junk = frame(spark, [(500, "QX!! ZZ##$$ %%QQ" * 5, "en", "a"), (501, None, None, None)])
