@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from revlattice.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
 from revlattice.llm.common import written
@@ -21,23 +22,49 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity_field(spark, docs, sf_dir))
 
 
+def _one_of_each(docs: DataFrame, kept: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` (never null) is in ``kept``; of rows that share it the one with the least hash."""
+    columns = [c for c in docs.columns if c not in key]
+    first = Window.partitionBy(*key).orderBy(F.xxhash64(*columns))
+    met = docs.join(kept.select(*key), key, "left_semi").withColumn("place", F.row_number().over(first))
+    return met.filter("place = 1").select(*columns)
+
+
+def _id_key(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("long").cast("string")), F.lit("-"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
-    kept = exact_dedup.exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of equal texts one row stays: of the smallest id, without one only where no other row has an id.
+
+    Verdicts hold for id and text, so that rows which repeat an id are told apart; of those with one text any one stays.
+    """
+    kept = exact_dedup.exact_duplicates(docs).filter("kept").select(_id_key().alias("id_key"), F.col("text_sha256").alias("text_key")).distinct()
+    keyed = docs.withColumn("id_key", _id_key()).withColumn("text_key", F.sha2(exact_dedup.normalised("text"), 256))
+    return _one_of_each(keyed, kept, ["id_key", "text_key"])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of the Jaccard join connect the one with the smallest id stays."""
-    kept = jaccard_join.linked(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of rows that links of the Jaccard join connect one stays: of the smallest id, without one only where no other has an id.
+
+    Rows are known by id and text, so that rows which repeat an id are told apart.
+    """
+    keyed = docs.withColumn("row_key", F.xxhash64(F.lit("row"), _id_key(), F.coalesce("text", F.lit(""))))
+    linked = jaccard_join.linked(keyed.select(F.col("row_key").alias("doc_id"), "text"))
+    component = linked.groupBy(F.col("doc_id").alias("row_key")).agg(F.min("component_id").alias("component"))
+    ids = keyed.groupBy("row_key").agg(F.first("doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    kept = component.join(ids, "row_key").groupBy("component").agg(F.min(order).alias("least")).select("least.row_key")
+    return _one_of_each(keyed, kept, ["row_key"])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that tokens meet the target shares of source, language and topic."""
-    weighed = with_topic(docs).withColumn("tokens", mixing.tokens("text"))
-    drawn = mixing.mixed(weighed, list(POWERS), POWERS, share=KEPT_TOKENS).filter("selected").select("doc_id")
-    return docs.join(drawn, "doc_id", "left_semi")
+    """Documents drawn so that tokens meet the target shares of source, language and topic.
+
+    Every row has the verdict of its own cell; rows that repeat an id, or have none, share a draw.
+    """
+    weighed = with_topic(docs).withColumn("tokens", mixing.tokens("text")).withColumn("row", F.struct(*docs.columns))
+    return mixing.mixed(weighed, list(POWERS), POWERS, share=KEPT_TOKENS, carried=["row"]).filter("selected").select("row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

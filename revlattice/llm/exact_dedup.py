@@ -144,7 +144,9 @@ def merged(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
 def differing_texts(docs: DataFrame, rows: DataFrame, buckets: DataFrame) -> int:
     """How many digests of several rows stand for texts that differ in a byte."""
     shared = rows.join(buckets.filter("members > 1").select("digest"), "digest", "left_semi").select("doc_id", "digest")
-    texts = docs.select("doc_id", "text").join(shared.hint("shuffle_hash"), "doc_id").select("digest", normalised("text").alias("text"))
+    # By digest too: rows that repeat an id may hold another text.
+    known = docs.select("doc_id", normalised("text").alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    texts = known.join(shared.hint("shuffle_hash"), ["doc_id", "digest"]).select("digest", "text")
     return texts.groupBy("digest", "text").agg(F.lit(1).alias("one")).groupBy("digest").count().filter("count > 1").count()
 
 

@@ -83,8 +83,8 @@ def _scale(weights: DataFrame, share: float | None) -> float:
     return max([s for s, mass in zip(scales, kept, strict=True) if mass <= share * total], default=least)
 
 
-def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, share: float | None = None) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, tokens, margins): weight, probability, selected.
+def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, share: float | None = None, carried: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, tokens, margins): weight, probability, selected, and the ``carried`` columns.
 
     Margins are text. Targets come as (value, share) per margin, or from ``powers`` of the margin's own token sums. The
     probability of a document is its cell's weight over the largest weight, so that every one is at most 1 and kept tokens
@@ -93,7 +93,7 @@ def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None =
     from the id, so a rerun selects the same rows. Null margin values form a value of their own. Documents without tokens
     (null or empty text) carry no weight: probability 0, not selected. Rows that repeat an id share its draw.
     """
-    keyed = docs.select("doc_id", "tokens", *(_key(m).alias(m) for m in margins))
+    keyed = docs.select("doc_id", "tokens", *(_key(m).alias(m) for m in margins), *(carried or ()))
     cells = written(cells_of(keyed, margins), "sums")
     given = {m: targets[m].withColumn("value", _key("value")) if targets and m in targets else tempered(cells, m, (powers or {}).get(m, 1.0)) for m in margins}
     weights = rake(cells, given)
@@ -102,4 +102,4 @@ def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None =
     same = reduce(lambda a, b: a & b, (F.col(f"d.{m}") == F.col(f"w.{m}") for m in margins)) & (F.col("d.tokens") > 0)
     joined = keyed.alias("d").join(written(weights, "weights").alias("w"), same, "left")
     chance = F.coalesce("w.probability", F.lit(0.0))
-    return joined.select("d.doc_id", "d.tokens", F.coalesce("w.weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform_draw("d.doc_id") < chance).alias("selected"))
+    return joined.select("d.doc_id", "d.tokens", F.coalesce("w.weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform_draw("d.doc_id") < chance).alias("selected"), *(f"d.{c}" for c in carried or ()))

@@ -376,3 +376,46 @@ def test_pipeline_stages(spark):
     assert sorted(texts_of(corpus_pipeline.run(spark, folder))) == sorted(texts_of(docs))
     near = {r["doc_id"] for r in jaccard_join.linked(docs).collect()}
     assert near == {i for i, _ in texts_of(docs)}
+
+
+def as_counts(docs):
+    return collections.Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect())
+
+
+def test_pipeline_stages_on_odd_rows(spark, monkeypatch):
+    long = " ".join(WORDS)
+    rows = [
+        *ODD,
+        (None, "another text that has no id at all", "en", "c"),
+        (None, "another text that has no id at all", "en", "c"),
+        (None, SAME, "en", "c"),
+        (60, long, "en", "a"),
+        (70, long, "en", "a"),
+        (70, "one of a kind though its id is not", "en", "a"),
+        (71, long.replace("upsilon", "omega"), "en", "a"),
+        (71, "nothing else in here reads like this row", "en", "a"),
+        (80, "identical rows with one id are one document", "en", "a"),
+        (80, "identical rows with one id are one document", "en", "a"),
+    ]
+    docs = frame(spark, rows)
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")].append(r)
+    order = lambda r: (r[0] is None, r[0] or 0)
+    first = common.written(corpus_pipeline.exact_copies(spark, docs, ""), "stage")
+    got = as_counts(first)
+    assert sum(got.values()) == len(groups) and max(got.values()) == 1
+    norm = lambda text: re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+    assert {(norm(t), i) for i, t, *_ in got} == {(t, min(g, key=order)[0]) for t, g in groups.items()}
+    # Near copies: document 71 differs from 60 in one word, 8 from 6 in case only.
+    second = as_counts(corpus_pipeline.near_copies(spark, first, ""))
+    assert second == collections.Counter({r: 1 for r in got if not (r[0] == 71 and "omega" in r[1]) and r[0] != 8})
+    # Near copies alone: also of rows that are equal in every way one stays.
+    again = as_counts(corpus_pipeline.near_copies(spark, docs.filter("doc_id in (60, 70, 71, 80)"), ""))
+    assert sorted((i, t[:5]) for i, t, *_ in again.elements()) == [(60, long[:5]), (70, "one o"), (71, "nothi"), (80, "ident")]
+    # Every row has the verdict of its own cell.
+    weighed = mixing.mixed(queries.with_topic(docs).withColumn("tokens", mixing.tokens("text")), list(queries.POWERS), queries.POWERS, share=corpus_pipeline.KEPT_TOKENS)
+    third = corpus_pipeline.mixture(spark, docs, "")
+    assert third.columns == docs.columns and third.count() == weighed.filter("selected").count()
+    monkeypatch.setattr(mixing, "uniform_draw", lambda doc_id: F.lit(0.0))
+    assert as_counts(corpus_pipeline.mixture(spark, docs, "")) == collections.Counter(r for r in rows if (r[1] or "").split())
