@@ -144,9 +144,15 @@ def labelled_tokens(keys: np.ndarray, around: np.ndarray, text: np.ndarray, toxi
     return marked & toxic[text]
 
 
+def folded(text: str) -> str:
+    """Lower case of as many code points, so that offsets hold in the text itself: a character that grows stays as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+
+
 def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     """Trains on a bounded sample; ``share`` is the share of toxic documents among all labelled ones."""
-    data = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    data = [folded(t).encode("utf-8", "surrogatepass") for t in texts]
     pieces = [tokenised(*piece) for piece in segments(data)]
     shifts = np.cumsum([0, *(int(p.chain[-1]) + 1 if len(p.chain) else 0 for p in pieces)])
     text = np.concatenate([p.text for p in pieces])
@@ -234,8 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE,
 
 def _scored(texts: list[str], field: Field) -> tuple[np.ndarray, list[list[dict]]]:
     """Scores and spans of the texts."""
-    # Case is folded where it keeps the number of code points, so that offsets hold in the text itself.
-    lowered = [low if len(low := t.lower()) == len(t) else t for t in texts]
+    lowered = [folded(t) for t in texts]
     expected = np.zeros(len(texts))
     spans: list[list[dict]] = [[] for _ in texts]
     passed = np.zeros(len(texts), dtype=np.int64)

@@ -219,6 +219,16 @@ def test_toxicity(spark, odd, none):
     assert toxicity.tag(odd, toxicity.train(none, known)).filter("predicted = 1").count() == 0
 
 
+def test_one_character_does_not_stop_case_folding():
+    assert toxicity.folded("\u0130 SHOUTED Idiot") == "\u0130 shouted idiot"
+    texts = [f"{a} {b} idiot here." if i % 2 else f"{a} {b} friend here." for i, (a, b) in enumerate((a, b) for a in WORDS for b in WORDS)]
+    field = toxicity.fit(texts, np.arange(len(texts)) % 2 == 1, 0.5)
+    plain, shouted = "alpha beta idiot here.", "\u0130 alpha beta IDIOT here."
+    (score, other), spans = toxicity._scored([plain, shouted], field)
+    assert score > toxicity.THRESHOLD and other > toxicity.THRESHOLD
+    assert [shouted[x["start"] : x["end"]] for x in spans[1]] == ["IDIOT"]
+
+
 def test_forward_backward_by_enumeration():
     rng = np.random.default_rng(2)
     unary, links = rng.normal(size=6), rng.normal(size=(2, 2))
