@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, kneser_ney, language, mixing, secret_scan, topk, toxicity
+from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, kneser_ney, language, mixing, prefix_trie, secret_scan, topk, toxicity
 from revlattice.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,36 @@ def with_topic(docs: DataFrame) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_topic(documents(spark, sf_dir, "doc_id", "text", "source", "lang"))
     return mixing.mixed(docs.withColumn("tokens", mixing.tokens("text")), list(POWERS), POWERS)
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: SQL: the unsigned CRC-32 of a number's decimal digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+ORACLES["op13_conversation_trie"] = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, max(place) AS n, {_CRC32.format("conv_id")} % 4 AS h, conv_id - conv_id % 20 AS head FROM t GROUP BY conv_id),
+c AS (SELECT s.*, least(s.h, coalesce(d.n, 0)) AS k, least(s.h, coalesce(d.n, 0)) + greatest(s.n - s.h, 0) AS size FROM s LEFT JOIN s d ON d.conv_id = s.head),
+r AS (SELECT c.conv_id, k + place - h AS depth, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE place > h
+  UNION ALL SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.head WHERE place <= k),
+p AS (SELECT conv_id, depth, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+    len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM r
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM p GROUP BY node, depth),
+up AS (SELECT n.node, q.node AS parent FROM n JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent),
+sums AS (SELECT q.node, sum((kids.node IS NULL)::INT) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM n LEFT JOIN kids ON kids.node = n.node JOIN p q ON q.conv_id = n.conv_id AND q.depth <= n.depth GROUP BY q.node),
+ends AS (SELECT node, sha256(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id)) AS digest FROM p JOIN c ON c.conv_id = p.conv_id AND c.size = p.depth GROUP BY node)
+SELECT n.conv_id, n.depth, top.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM n JOIN sums ON sums.node = n.node LEFT JOIN kids ON kids.node = n.node LEFT JOIN ends ON ends.node = n.node
+LEFT JOIN up ON up.node = n.node LEFT JOIN n top ON top.node = up.parent
+"""
