@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import bpe, class_lm, exact_dedup, jaccard_join, kneser_ney, language, mixing, prefix_trie, secret_scan, topk, toxicity
+from revlattice.llm import bpe, class_lm, collocations, exact_dedup, jaccard_join, kneser_ney, language, mixing, prefix_trie, repeats, secret_scan, topk, toxicity
 from revlattice.llm.common import documents, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,6 +177,51 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs.withColumn("tokens", mixing.tokens("text")), list(POWERS), POWERS)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir, "text", "lang"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM p, (VALUES (1), (2), (3)) t(k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+halves AS MATERIALIZED (SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest FROM c, (VALUES (1), (2)) t(cut) WHERE cut < k),
+cuts AS (SELECT h.*, x.f AS l, y.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.head JOIN f y ON y.lang = h.lang AND y.phrase = h.rest),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_pairs AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3),
+kept AS (SELECT * FROM lowest b WHERE NOT EXISTS (SELECT 1 FROM inner_pairs i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 50 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@query
+def op12_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.removed(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_repeat_removal"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS i FROM d)),
+late AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+runs AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+  SELECT doc_id, i, CAST(i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) > 100 AS INT) AS new FROM late)),
+spans AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, run)),
+kept AS (SELECT s.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS h
+  FROM spans s JOIN d ON d.doc_id = s.doc_id GROUP BY s.doc_id)
+SELECT d.doc_id, len(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.h || substr(d.h, 2 * tail + 1), d.h))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+
 @query
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -195,7 +240,8 @@ c AS (SELECT s.*, least(s.h, coalesce(d.n, 0)) AS k, least(s.h, coalesce(d.n, 0)
 r AS (SELECT c.conv_id, k + place - h AS depth, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE place > h
   UNION ALL SELECT c.conv_id, place, role, text FROM c JOIN t ON t.conv_id = c.head WHERE place <= k),
 p AS (SELECT conv_id, depth, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
-    len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM r
+    len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM r
   UNION ALL SELECT conv_id, 0, '', 0 FROM c),
 n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM p GROUP BY node, depth),
 up AS (SELECT n.node, q.node AS parent FROM n JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
