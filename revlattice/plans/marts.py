@@ -10,6 +10,10 @@ there are pairs of months.
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,9 +108,12 @@ def account_spans(t) -> DataFrame:
     return summarise(owned, ["account_id", *_SPAN], _span_measures("plan_place"))
 
 
-def _account_months(t) -> DataFrame:
+def _account_months(t, since: date | None = None) -> DataFrame:
     """Sums of sums and maxima of maxima: the subscription level needs no pass of its own."""
-    months = expand_months(account_spans(t).repartition("account_id"), "first_month", "last_month")
+    spans = account_spans(t)
+    if since is not None:
+        spans = spans.withColumn("first_month", F.greatest("first_month", F.lit(since)))
+    months = expand_months(spans.repartition("account_id"), "first_month", "last_month")
     return summarise(months, ["account_id", "month_start"], _span_measures("plan_place"))
 
 
@@ -123,6 +130,8 @@ _ACCOUNT_MONTH = (
 
 #: Marts that ``write_marts`` stores once per run; plans read them where the tables hold them under these names.
 STORED = ("mart_account_mrr_monthly", "mart_mrr_movements", "mart_account_month")
+#: What a refresh carries of the months before: each account's first month, and its first one with revenue above zero.
+STATE = "mart_account_state"
 
 
 def account_mrr_monthly(t) -> DataFrame:
@@ -131,8 +140,20 @@ def account_mrr_monthly(t) -> DataFrame:
     return _with_plan_name(t, _account_months(t)).select(*_ACCOUNT_MONTH)
 
 
+def account_mrr_since(t, since: date) -> DataFrame:
+    """The months of ``account_mrr_monthly`` from ``since`` on, without expanding earlier ones."""
+    running = {"subscription_items": t["subscription_items"].where(F.col("effective_end") >= F.lit(since))}
+    return _with_plan_name(t, _account_months(ChainMap(running, t), since)).select(*_ACCOUNT_MONTH)
+
+
+def next_month(month: date) -> date:
+    return date(month.year + month.month // 12, month.month % 12 + 1, 1)
+
+
 def month_bounds(t) -> DataFrame:
-    """First and last month with recurring revenue (one row)."""
+    """First and last month with recurring revenue (one row), from the stored mart's partitions where there is one."""
+    if STORED[0] in t:
+        return t[STORED[0]].agg(F.min("month_start").alias("first_month"), F.max("month_start").alias("last_month"))
     items = t["subscription_items"].select(
         "subscription_id",
         month_of("effective_start").alias("first_month"),
@@ -152,6 +173,15 @@ def account_mrr_complete(t) -> DataFrame:
     return _with_plan_name(t, account_grid(t)).select(*_ACCOUNT_MONTH)
 
 
+def _revenue_spans(t) -> DataFrame:
+    """Revenue per account and months: single months where the mart is stored, else the spans of the items."""
+    if STORED[0] not in t:
+        return account_spans(t)
+    places = _plan_places(t).groupBy("plan_name").agg(F.max("plan_place").alias("plan_place"))
+    stored = t[STORED[0]].join(places.withColumnRenamed("plan_name", "primary_plan_name"), "primary_plan_name", "left")
+    return stored.select("account_id", *(F.col("month_start").alias(c) for c in _SPAN), *(m.name for m in _span_measures("plan_place")))
+
+
 def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> DataFrame:
     """Dense account-month grid with recurring revenue and monthly facts.
 
@@ -161,17 +191,21 @@ def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> D
     accounts without revenue, and outside the months with revenue, drop out.
     """
     bounds = month_bounds(t).select(F.struct("first_month", "last_month")).scalar()
-    first_month, last_month = bounds["first_month"], bounds["last_month"]
+    return _grid(t, _revenue_spans(t), facts, extra or {}, bounds["first_month"], bounds["last_month"])
+
+
+def _grid(t, revenue: DataFrame, facts: Sequence[str], extra: dict[str, DataFrame], first_month: Column, last_month: Column) -> DataFrame:
+    """The grid of the accounts in ``revenue`` (spans) between two months."""
     added = {name: _fact(t, name) for name in facts}
     counts = [c for name in facts for c in FACTS[name] if name != "health"]
     scores = [c for name in facts for c in FACTS[name] if name == "health"]
-    rows = account_spans(t).withColumn("_revenue", F.lit(1))
-    monthly = [*added.values(), *(extra or {}).values()]
+    rows = revenue.withColumn("_revenue", F.lit(1))
+    monthly = [*added.values(), *extra.values()]
     for frame in monthly:
         spans = frame.withColumnsRenamed({"month_start": "first_month"}).withColumn("last_month", F.col("first_month"))
         rows = rows.unionByName(spans, allowMissingColumns=True)
     months = expand_months(rows.repartition("account_id"), "first_month", "last_month")
-    others = [*counts, *scores, *(extra or {})]
+    others = [*counts, *scores, *extra]
     merged = summarise(
         months,
         ["account_id", "month_start"],
@@ -187,11 +221,71 @@ def account_grid(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> D
         month="month_start",
         first_month=first_month,
         last_month=last_month,
-        zero=(*_MRR_ZERO, *counts, *(extra or {})),
+        zero=(*_MRR_ZERO, *counts, *extra),
         blank=("plan_place", *scores),
     )
 
 
+def account_state(t) -> DataFrame:
+    """First month of every account in the revenue mart, and its first month with revenue above zero."""
+    return account_mrr_monthly(t).groupBy("account_id").agg(
+        F.min("month_start").alias("first_month"), F.min(F.when(F.col("mrr_eur") > 0, F.col("month_start"))).alias("first_active")
+    )
+
+
+def carried_state(before: DataFrame, later: DataFrame, since: date) -> DataFrame:
+    """The state after months from ``since`` on were replaced by ``later``; what ``before`` says of them is forgotten."""
+    known = before.select(
+        "account_id", *(F.when(F.col(c) < F.lit(since), F.col(c)).alias(c) for c in ("first_month", "first_active"))
+    ).where("first_month is not null")
+    fresh = account_state({STORED[0]: later})
+    return known.unionByName(fresh).groupBy("account_id").agg(F.min("first_month").alias("first_month"), F.min("first_active").alias("first_active"))
+
+
+#: The dates by which the source tables of the monthly facts are cut.
+_FACT_DATES = {
+    "account_usage_daily": "activity_date",
+    "support_tickets": "created_at",
+    "invoices": "invoice_date",
+    "account_health_history": "health_month",
+}
+
+
+def _grid_between(t, state: DataFrame, facts: Sequence[str], since: date | None, until: date | None) -> DataFrame:
+    """Months of the grid from ``since`` on, or before ``until``, for the accounts of ``state``, with ``_active_before``.
+
+    ``t`` holds the revenue mart.  Every account gets a row in the month before, so that its last revenue is at hand; whether
+    it had revenue above zero before that month, the state tells.
+    """
+    bounds = month_bounds(t).select(F.struct("first_month", "last_month")).scalar()
+    first = bounds["first_month"] if since is None else F.add_months(F.lit(since), -1)
+    last = bounds["last_month"] if until is None else F.add_months(F.lit(until), -1)
+    cut = {}
+    for table, column in _FACT_DATES.items():
+        inside = F.lit(True) if since is None else F.col(column) >= F.lit(since)
+        cut[table] = t[table].where(inside if until is None else inside & (F.col(column) < F.lit(until)))
+    revenue = _revenue_spans(t).where((F.col("first_month") >= first) & (F.col("last_month") <= last)).join(state.select("account_id"), "account_id", "left_semi")
+    # Sums over no rows are NULL, as in a month without revenue.
+    carried = state.select("account_id", F.when(F.col("first_active") < first, 1).otherwise(0).alias("active"))
+    seeds = carried.select("account_id", first.alias("first_month"), first.alias("last_month"))
+    extra = {"_carried": carried.select("account_id", first.alias("month_start"), F.col("active").alias("_carried"))}
+    grid = _grid(ChainMap(cut, t), revenue.unionByName(seeds, allowMissingColumns=True), facts, extra, first, last)
+    moved = with_movement(grid, F.greatest(F.when(F.col("mrr_eur") > 0, 1).otherwise(0), F.col("_carried")))
+    return moved if since is None else moved.where(F.col("month_start") >= F.lit(since))
+
+
+def movements_between(t, state: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    """The rows of ``mrr_movements`` from ``since`` on, or before ``until``, for the accounts of ``state``."""
+    return _grid_between(t, state, (), since, until).select(*_MOVEMENT)
+
+
+def account_month_between(t, state: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    """The same rows of ``account_month`` with all facts."""
+    grid = _with_plan_name(t, _grid_between(t, state, tuple(FACTS), since, until))
+    accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
+    return grid.join(accounts, "account_id").select(*_account_month_columns(FACTS))
+
+
 def movement_type(previous: Column, current: Column, active_before: Column) -> Column:
     starts = (previous == 0) & (current > 0)
     return (
@@ -204,12 +298,15 @@ def movement_type(previous: Column, current: Column, active_before: Column) -> C
     )
 
 
-def with_movement(frame: DataFrame) -> DataFrame:
-    """Add previous MRR, movement and its type to a dense account-month frame."""
+def with_movement(frame: DataFrame, paying: Column | None = None) -> DataFrame:
+    """Add previous MRR, movement and its type to a dense account-month frame.
+
+    ``paying`` is 1 where an account counts as active from that month on: where it has revenue, unless told otherwise.
+    """
     order = Window.partitionBy("account_id").orderBy("month_start")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast(frame.schema["mrr_eur"].dataType)
-    paying = F.when(F.col("mrr_eur") > 0, 1).otherwise(0)
+    paying = F.when(F.col("mrr_eur") > 0, 1).otherwise(0) if paying is None else paying
     return (
         frame.withColumn("previous_mrr", F.coalesce(F.lag("mrr_eur").over(order), zero))
         .withColumn("_active_before", F.coalesce(F.max(paying).over(before), F.lit(0)) == 1)
@@ -362,23 +459,18 @@ def _fact(t, name: str) -> DataFrame:
     )
 
 
+def _account_month_columns(facts: Sequence[str]) -> list[str]:
+    added = [c for name in facts for c in FACTS[name]]
+    return ["month_start", "account_id", *ACCOUNT_DIMENSIONS, "mrr_eur", "paid_seats", "active_add_ons", "primary_plan_name", *added]
+
+
 def account_month(t, *facts: str, extra: dict[str, DataFrame] | None = None) -> DataFrame:
     """Account-month fact over the dense grid; accounts without a master row drop out.
 
     Views name the facts they read (``FACTS`` for all), so no unused table is scanned.
     """
     accounts = t["accounts"].select("account_id", *ACCOUNT_DIMENSIONS)
-    added = [c for name in facts for c in FACTS[name]]
-    columns = [
-        "month_start",
-        "account_id",
-        *ACCOUNT_DIMENSIONS,
-        "mrr_eur",
-        "paid_seats",
-        "active_add_ons",
-        "primary_plan_name",
-        *added,
-    ]
+    columns = _account_month_columns(facts)
     if STORED[2] in t and not extra:
         return t[STORED[2]].select(*columns)
     grid = _with_plan_name(t, account_grid(t, *facts, extra=extra))
@@ -391,7 +483,15 @@ def latest_month(t) -> Column:
 
 
 def account_mrr_in(t, month: Column) -> DataFrame:
-    """Recurring revenue of one month for every account of the grid, without expanding months."""
+    """Recurring revenue of one month for every account of the grid, without expanding months.
+
+    Where the marts are stored, only that month's partitions of two of them are read.
+    """
+    if STORED[0] in t and STORED[1] in t:
+        in_month = lambda name: t[name].where(F.col("month_start") == month)
+        running = in_month(STORED[0]).select("account_id", F.lit(1).cast("bigint").alias("running_items"))
+        grid = in_month(STORED[1]).select("account_id", "mrr_eur").join(running, "account_id", "left")
+        return grid.select("account_id", "mrr_eur", F.coalesce("running_items", F.lit(0)).alias("running_items"))
     items = t["subscription_items"].select(
         "subscription_id",
         month_of("effective_start").alias("first_month"),

@@ -317,7 +317,10 @@ def business_rule_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
-    """Invoices whose subtotal differs from the sum of their lines; no lines count as zero, no invoices give no check."""
+    """Invoices whose subtotal differs from the sum of their lines; an invoice without lines has zero.
+
+    Without any invoices, or any lines, there is nothing to reconcile and no check.
+    """
     lines = landing["invoice_lines"].groupBy("invoice_id").agg(F.sum(to_number("line_total_local")).alias("_lines"))
     check = Check(
         "invoices.lines_reconcile", "invoices", "reconciliation", "The lines of an invoice add up to its subtotal."
@@ -325,17 +328,18 @@ def invoice_line_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
     gap = F.abs(to_number("subtotal_local") - F.coalesce("_lines", F.lit(0)))
     joined = landing["invoices"].select("invoice_id", "subtotal_local").join(lines, "invoice_id", "left")
     counted = joined.agg(F.count("*").alias("_rows"), F.count(F.when(gap > _tolerance(), 1)).alias("failure_count"))
-    return _reconciled(counted, check)
+    return _reconciled(counted, landing["invoice_lines"], check)
 
 
-def _reconciled(counted: DataFrame, check: Check) -> DataFrame:
-    """A check between two tables from its one row of counts; it is not made where there are no rows to check."""
-    made = counted.where("_rows > 0").select(F.lit(check.check_id).alias("check_id"), "failure_count")
+def _reconciled(counted: DataFrame, other: DataFrame, check: Check) -> DataFrame:
+    """A check between two tables from its one row of counts; it is not made where either table has no rows."""
+    some = other.limit(1).agg((F.count(F.lit(1)) > 0).alias("_some")).scalar()
+    made = counted.where((F.col("_rows") > 0) & some).select(F.lit(check.check_id).alias("check_id"), "failure_count")
     return _described(made, [check], how="inner")
 
 
 def payment_attempt_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
-    """Payments without a succeeded attempt; no payments give no check."""
+    """Payments without a succeeded attempt; without any payments, or any attempts, there is no check."""
     payments = landing["payments"].groupBy("payment_attempt_id").agg(F.count(F.lit(1)).alias("n"))
     succeeded = landing["payment_attempts"].where("attempt_status = 'succeeded'").select("payment_attempt_id")
     check = Check(
@@ -346,7 +350,7 @@ def payment_attempt_checks(landing: Mapping[str, DataFrame]) -> DataFrame:
     )
     known = payments.join(succeeded.distinct().withColumn("_known", F.lit(True)), "payment_attempt_id", "left")
     failed = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
-    return _reconciled(known.agg(F.sum("n").alias("_rows"), failed.alias("failure_count")), check)
+    return _reconciled(known.agg(F.sum("n").alias("_rows"), failed.alias("failure_count")), landing["payment_attempts"], check)
 
 
 def validate(landing: Mapping[str, DataFrame]) -> DataFrame:
@@ -375,14 +379,19 @@ def require(landing: Mapping[str, DataFrame]) -> None:
         raise GateClosed(f"{len(failed)} checks failed: {told}")
 
 
+def gate_columns() -> dict[str, Column]:
+    """The gate's aggregates over check results."""
+    blocking = F.col("severity") == "error"
+    return {
+        "checks": F.count(F.lit(1)),
+        "blocking_failures": F.count(F.when(blocking & ~F.col("passed"), 1)),
+        "gate_passed": (F.count(F.lit(1)) > 0) & F.coalesce(F.bool_and(F.col("passed") | ~blocking), F.lit(False)),
+    }
+
+
 def gate(results: DataFrame) -> DataFrame:
     """Whether loading may go on: some results exist and no error-severity check failed."""
-    blocking = F.col("severity") == "error"
-    return results.agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count(F.when(blocking & ~F.col("passed"), 1)).alias("blocking_failures"),
-        ((F.count(F.lit(1)) > 0) & F.coalesce(F.bool_and(F.col("passed") | ~blocking), F.lit(False))).alias("gate_passed"),
-    )
+    return results.agg(*(c.alias(n) for n, c in gate_columns().items()))
 
 
 def failures(results: DataFrame) -> DataFrame:

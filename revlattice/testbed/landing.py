@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from revlattice.contracts import CONTRACTS
+from revlattice.sources.tables import CSV
 from revlattice.testbed.bind import BoundTables
 
 # column -> SQL that replaces its text; {v} is the clean text.
@@ -23,12 +25,20 @@ FAULTS: dict[tuple[str, str], str] = {
     ("subscription_items", "quantity"): "case when quantity = 17 then ' 17 ' when quantity = 18 then 'abc' else {v} end",
     ("users", "user_id"): "case when user_id % 149 = 1 then null else {v} end",
 }
+# Rows that are landed with a field too many: their last column's text has a comma that no quote protects.
+WIDE: dict[str, str] = {
+    "invoices": "invoice_id % 101 = 7",
+    "leads": "lead_id % 97 = 5",
+    "payments": "payment_id % 103 = 11",
+    "users": "user_id % 107 = 3",
+}
 DROPPED = {"experiments": ("status",)}
 ADDED = {"partners": {"note": "'unplanned'"}}
 
 
-def landing_text(table: str) -> str:
-    columns = []
+def landing_text(table: str, wide: bool = False) -> str:
+    """The landed text of a table; with ``wide`` also which rows have a field too many."""
+    columns = [f"{WIDE.get(table, 'false')} as wide_row"] if wide else []
     for name in CONTRACTS[table].columns:
         if name in DROPPED.get(table, ()):
             continue
@@ -55,3 +65,12 @@ class LandedTables:
 
     def __iter__(self):
         return iter(CONTRACTS)
+
+
+def land_csv(tables: BoundTables, folder: str, names) -> None:
+    """Write landed text as CSV files whose ``WIDE`` rows have a field too many."""
+    for name in names:
+        frame = tables.spark.sql(landing_text(name, wide=True), **{name: tables[name]})
+        last = frame.columns[-1]
+        surplus = F.when(F.col("wide_row"), F.concat(F.coalesce(last, F.lit("")), F.lit(",surplus"))).otherwise(F.col(last))
+        frame.withColumn(last, surplus).drop("wide_row").write.options(**CSV).option("quote", "").csv(f"{folder}/{name}.csv")

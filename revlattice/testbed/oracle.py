@@ -1,7 +1,8 @@
 """Composes oracle statements from bound tables, landed text and shared marts.
 
-``{name}`` in a statement is a bound table, ``{text:name}`` its landed text and
-``{mart:name}`` a mart below.  A statement gets the common table expressions it
+``{name}`` in a statement is a bound table, ``{text:name}`` its landed text,
+``{wide:name}`` that text with a mark on rows of the wrong width, and ``{mart:name}``
+a mart below.  A statement gets the common table expressions it
 needs, each once, and its columns are cast to the query's output contract.
 """
 
@@ -213,7 +214,7 @@ MARTS: dict[str, str] = {
                    group by 1) q on q.month = m.month""",
 }
 
-_REFERENCE = re.compile(r"\{(?:(text|mart):)?(\w+)\}")
+_REFERENCE = re.compile(r"\{(?:(text|wide|mart):)?(\w+)\}")
 
 
 def _definition(kind: str | None, name: str) -> tuple[str, str | None]:
@@ -222,6 +223,8 @@ def _definition(kind: str | None, name: str) -> tuple[str, str | None]:
         return f"m_{name}", MARTS[name]
     if kind == "text":
         return f"l_{name}", landing_text(name)
+    if kind == "wide":
+        return f"w_{name}", landing_text(name, wide=True)
     if name in BASE_TABLES:
         return name, None
     return f"a_{name}", duckdb_text(BINDINGS[name])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from collections import ChainMap
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlattice.contracts import CONTRACTS, cast_to_contract, references_of
+from revlattice.folders import shared_folder
 from revlattice.plans import (
     acquisition,
     billing,
@@ -28,7 +32,7 @@ from revlattice.plans import (
 from revlattice.session import tune
 from revlattice.sources import tables as sources
 from revlattice.testbed.bind import BoundTables
-from revlattice.testbed.landing import ADDED, DROPPED, LandedTables
+from revlattice.testbed.landing import ADDED, DROPPED, LandedTables, land_csv
 from revlattice.testbed.oracle import avg, compose, hours, month, n, ratio
 
 AS_OF = "1999-12-31"
@@ -134,12 +138,13 @@ query(
 _PRINT_KINDS = {"integer": "bigint", "decimal": "decimal(20,6)", "string": "varchar"}
 
 
-def _fingerprint(table: str) -> str:
+def _fingerprint(table: str, month_of: str | None = None) -> str:
     texts = (f"cast(cast({c} as {_PRINT_KINDS.get(k, k)}) as varchar)" for c, k in CONTRACTS[table].columns.items())
     told = " || ',' || ".join(f"coalesce(length({x}) || ':' || {x}, 'N')" for x in texts)
+    month = "" if month_of is None else f", cast(date_trunc('month', cast({month_of} as timestamp)) as date) as month_start"
     return (
-        f"select '{table}' as table_name, count(*) as rows, sum(d) as digest_sum, bit_xor(d) as digest_xor"
-        f" from (select cast('0x' || substr(md5({told}), 1, 15) as bigint) as d from {{{table}}}) f"
+        f"select '{table}' as table_name{', month_start' if month else ''}, count(*) as rows, sum(d) as digest_sum, bit_xor(d) as digest_xor"
+        f" from (select cast('0x' || substr(md5({told}), 1, 15) as bigint) as d{month} from {{{table}}}) f{' group by month_start' if month else ''}"
     )
 
 
@@ -158,6 +163,61 @@ query(
     sources.table_fingerprints,
     _FINGERPRINTS,
 )
+query(
+    "month_fingerprint",
+    "string: table_name; date: month_start; bigint: rows; string: digest_sum; bigint: digest_xor",
+    sources.month_fingerprints,
+    " union all ".join(_fingerprint(t, sources.month_column(t) or "null") for t in CONTRACTS),
+)
+
+
+def _scratch(t: BoundTables, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _landed_again(t: BoundTables) -> DataFrame:
+    """Fingerprints of all tables after they went to CSV and were loaded from it."""
+    folder = _scratch(t, "round-trip")
+    sources.write_dataset(t, f"{folder}/csv")
+    audit = sources.RunAudit(t.spark, f"{folder}/audit")
+    sources.run_load(t.spark, f"{folder}/csv", f"{folder}/core", audit, require=None)
+    return sources.table_fingerprints(sources.current(t.spark, f"{folder}/core"))
+
+
+query("landing_round_trip", "string: table_name; bigint: rows; string: digest_sum; bigint: digest_xor", _landed_again, _FINGERPRINTS)
+
+_ROUTED = ("invoices", "leads", "payments", "subscription_items", "users")
+
+
+def _quarantined(t: BoundTables) -> DataFrame:
+    """Rows per table, reason and columns at fault after a quarantining load; reason 0 are the typed rows."""
+    folder = _scratch(t, "quarantine")
+    land_csv(t, f"{folder}/csv", _ROUTED)
+    audit = sources.RunAudit(t.spark, f"{folder}/audit")
+    paths = sources.run_load(t.spark, f"{folder}/csv", f"{folder}/core", audit, _ROUTED, require=None, mode="quarantine")
+    run = next(iter(paths.values())).rsplit("/", 2)[0]
+    typed = core.table_row_counts(sources.current(t.spark, f"{folder}/core"), _ROUTED)
+    kept = typed.select("table_name", F.lit(0).alias("reasons"), F.lit(None).cast("string").alias("failed_columns"), F.col("row_count").alias("n"))
+    aside = sources.read_quarantine(t.spark, run, _ROUTED).withColumn("failed_columns", F.array_join("failed_columns", ","))
+    return kept.unionByName(aside.groupBy("table_name", "reasons", "failed_columns").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _quarantine_sql(table: str) -> str:
+    contract, given = CONTRACTS[table], lambda c: f"nullif(trim({c}), '')"
+    failed = [f"case when {given(c)} is not null and {_duck_cast(c, k)} is null then '{c}' end" for c, k in contract.columns.items() if k != "string"]
+    keyless = " or ".join(f"{given(c)} is null" for c in contract.key)
+    return f"""select '{table}' as table_name, reasons, failed_columns, count(*) as n from (
+        select case when wide_row then 1 else case when failed <> '' then 2 else 0 end + case when keyless then 4 else 0 end end as reasons,
+               case when not wide_row then nullif(failed, '') end as failed_columns
+        from (select wide_row, {keyless} as keyless, concat_ws(',', {', '.join(failed)}) as failed from {{wide:{table}}}) f) g group by all"""
+
+
+query(
+    "load_quarantine",
+    "string: table_name; int: reasons; string: failed_columns; bigint: n",
+    _quarantined,
+    " union all ".join(map(_quarantine_sql, _ROUTED)),
+)
 query(
     "accounts_enriched",
     from_contract("accounts") + "; string: country_name country_currency; double: vat_rate; string: region_name",
@@ -229,6 +289,24 @@ query(
     marts.mrr_movements,
     "select * from {mart:move}",
 )
+_SINCE = dt.date(1997, 6, 1)
+
+
+def _refreshed(t: BoundTables) -> DataFrame:
+    """Movements after the marts were written from what was known before a month, and then refreshed from that month on."""
+    folder = _scratch(t, "marts")
+    known = t["subscription_items"].where(F.col("effective_start") < F.lit(_SINCE))
+    known = known.withColumn("effective_end", F.least("effective_end", F.date_sub(F.lit(_SINCE), 1)))
+    sources.write_marts(ChainMap({"subscription_items": known}, t), folder)
+    return marts.mrr_movements(sources.refresh_marts(t, folder, _SINCE))
+
+
+query(
+    "mrr_movements_refreshed",
+    "date: month_start; bigint: account_id; double: previous_mrr mrr_eur movement_mrr; string: movement_type",
+    _refreshed,
+    "select * from {mart:move}",
+)
 query(
     "account_usage_monthly",
     "date: month_start; bigint: account_id active_users active_mobile_users sessions work_orders_created"

@@ -152,3 +152,10 @@ def test_whole_numbers_are_what_the_cast_reads(spark):
 def test_reconciliations_are_not_made_without_rows(texts):
     t = texts()
     assert not quality.invoice_line_checks(t).count() and not quality.payment_attempt_checks(t).count()
+
+
+def test_reconciliations_are_not_made_without_the_other_table(texts):
+    one = texts(invoices=[{"invoice_id": "1", "subtotal_local": "10"}], payments=[{"payment_id": "1", "payment_attempt_id": "a"}])
+    assert not quality.invoice_line_checks(one).count() and not quality.payment_attempt_checks(one).count()
+    other = texts(invoice_lines=[{"invoice_line_id": "1"}], payment_attempts=[{"payment_attempt_id": "a"}])
+    assert not quality.invoice_line_checks(other).count() and not quality.payment_attempt_checks(other).count()
