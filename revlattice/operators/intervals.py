@@ -137,26 +137,67 @@ def overlapping_pairs(
     )
 
 
-def valid_on(facts: DataFrame, rules: DataFrame, keys: Sequence[str], on: str, start: str, end: str) -> DataFrame:
-    """Attach the rule row whose interval contains ``facts.on``; facts without one keep NULLs.
+#: Blocks of 2^level days: the longest interval between two dates fits into two blocks of the last level.
+_LEVELS = 22
+
+
+def _whole_blocks(first: Column, past: Column, level: Column) -> tuple[Column, Column]:
+    """First and past-the-end number of the blocks of a level that lie inside the days [first, past)."""
+    size = F.call_function("shiftleft", F.lit(1), level)
+    return F.call_function("shiftright", first + size - 1, level), F.call_function("shiftright", past, level)
 
-    Where intervals of one key share a day, the rule that starts last is in
-    force, of those the greatest by its other columns, so no fact multiplies.
-    The rules are cut into stretches with one rule each before facts meet them.
-    ``rules`` is a price list or similar reference table.  Spark broadcasts it
-    while its measured size allows and falls back to a sort-merge join beyond.
+
+def in_force(rules: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Disjoint stretches of days (keys, _from, _before) with the one ``_rule`` that is in force on all of their days.
+
+    Of rules that share a day the one that starts last is in force, of those the greatest by its other columns.  Every rule is
+    cut into blocks of 2^n days, at most two of a size, and a block keeps its best rule only; a stretch then looks at
+    the one block of each size that holds its first day.  Work grows with the number of rules, however many share a key.
     """
     others = [c for c in rules.columns if c not in (*keys, start, end)]
     listed = rules.select(*keys, F.struct(start, end, *others).alias("_rule")).where(f"_rule.{start} <= _rule.{end}")
     bounds = listed.select(*keys, F.explode(F.array(f"_rule.{start}", F.date_add(f"_rule.{end}", 1))).alias("_from"))
     following = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
     stretches = bounds.distinct().withColumn("_before", following).where("_before is not null")
-    inside = F.col("_from").between(F.col(f"_rule.{start}"), F.col(f"_rule.{end}"))
-    chosen = stretches.join(listed, keys).where(inside).groupBy(*keys, "_from", "_before").agg(F.max("_rule").alias("_rule"))
-    condition = [facts[k] == chosen[k] for k in keys]
-    condition += [facts[on] >= chosen["_from"], facts[on] < chosen["_before"]]
-    return facts.join(chosen, condition, "left").select(
-        *(facts[c] for c in facts.columns), *(chosen[f"_rule.{c}"].alias(c) for c in (start, end, *others))
+
+    first, past, level = F.unix_date(f"_rule.{start}"), F.unix_date(f"_rule.{end}") + 1, F.col("_level")
+    longest = F.floor(F.log2(past - first)).cast("int")
+    leveled = listed.select("*", F.explode(F.sequence(F.lit(0), longest)).alias("_level"))
+    low, high = _whole_blocks(first, past, level)
+    above_low, above_high = _whole_blocks(first, past, level + 1)
+    # The blocks of a level that no larger block inside the rule covers are the outermost ones.
+    edges = F.when(low < high, F.array_distinct(F.array(low, high - 1))).otherwise(F.array().cast("array<int>"))
+    spread = leveled.select("*", above_low.alias("_low"), above_high.alias("_high"), F.explode(edges).alias("_block"))
+    upper = F.call_function("shiftright", F.col("_block"), F.lit(1))
+    outer = spread.where(~upper.between(F.col("_low"), F.col("_high") - 1))
+    best = outer.groupBy(*keys, "_level", "_block").agg(F.max("_rule").alias("_rule"))
+
+    asked = stretches.select("*", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("_level"))
+    asked = asked.withColumn("_block", F.call_function("shiftright", F.unix_date("_from"), level))
+    return asked.join(best, [*keys, "_level", "_block"]).groupBy(*keys, "_from", "_before").agg(F.max("_rule").alias("_rule"))
+
+
+def valid_on(
+    facts: DataFrame, rules: DataFrame, keys: Sequence[str], on: str, start: str, end: str, within: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """Attach the rule row whose interval contains ``facts.on``; facts without one keep NULLs.
+
+    Where intervals of one key share a day, ``in_force`` tells which one counts, so no fact multiplies.  Stretches have a row
+    for each month between the two dates of ``within``, outside of which no fact may lie (if not given, they are taken from the
+    facts); a fact meets those of its own month only, which are at most as many as the month has days.  ``rules`` is a price list or similar reference table.  Spark
+    broadcasts it while its measured size allows and falls back to a sort-merge join beyond.
+    """
+    others = [c for c in rules.columns if c not in (*keys, start, end)]
+    chosen = in_force(rules, keys, start, end)
+    if within is None:
+        bounds = facts.agg(F.struct(F.min(on).alias("first"), F.max(on).alias("last"))).scalar()
+        within = bounds["first"], bounds["last"]
+    clipped = chosen.select("*", F.greatest("_from", within[0]).alias("_first"), F.least(F.date_sub("_before", 1), within[1]).alias("_last"))
+    monthly = expand_months(clipped.where("_first <= _last"), "_first", "_last", "_month")
+    condition = [facts[k] == monthly[k] for k in keys]
+    condition += [month_of(facts[on]) == monthly["_month"], facts[on] >= monthly["_from"], facts[on] < monthly["_before"]]
+    return facts.join(monthly, condition, "left").select(
+        *(facts[c] for c in facts.columns), *(monthly[f"_rule.{c}"].alias(c) for c in (start, end, *others))
     )
 
 

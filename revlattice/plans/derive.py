@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import add_months, month_of, months_apart
 from revlattice.functions.measures import count, divide, highest, summarise, total
 from revlattice.operators.intervals import compress_runs, latest_before, valid_on
-from revlattice.operators.ranking import rank_in_slices
 from revlattice.plans.marts import account_mrr_monthly, subscription_monthly, support_monthly
 
 # Scoring weights, band limits and payment terms.
@@ -86,7 +87,8 @@ def price_as_of(t) -> DataFrame:
         "annual_discount_pct",
     )
     keys = ["plan_id", "country_code", "billing_frequency"]
-    return valid_on(_plan_items(t), prices, keys, "effective_start", "price_start", "price_end")
+    starts = t["subscription_items"].agg(F.struct(F.min("effective_start").alias("first"), F.max("effective_start").alias("last"))).scalar()
+    return valid_on(_plan_items(t), prices, keys, "effective_start", "price_start", "price_end", (starts["first"], starts["last"]))
 
 
 def plan_mrr(t) -> DataFrame:
@@ -409,25 +411,49 @@ def account_health_score(t) -> DataFrame:
     )
 
 
-def experiment_assign(t, eligibility: dict[str, str] | None = None, floor: int = 80, fraction: float = 0.35) -> DataFrame:
-    """Balanced assignment of a hash-ordered sample of eligible accounts per experiment.
+#: Experiments that an account meets at once, and the slices of a digest that are counted.
+EXPERIMENTS_AT_ONCE, SLICE_DIGITS = 256, 3
 
-    The order is a digest of experiment and account, so it is stable and spreads
-    evenly; ranks come from digest slices, not from one global sort.
+
+def _eligible(t, eligibility: dict[str, str]) -> DataFrame:
+    """Accounts with every experiment that they are eligible for, and the digest that orders them there.
+
+    Accounts meet experiments as arrays of bounded size, so that no pair is moved to be made.
     """
-    experiments = t["experiments"].select("experiment_id", "end_date")
     accounts = t["accounts"].select("account_id", "created_at", "country_code", "segment", "sales_motion")
-    # Few experiments exist, so each account meets them as an array instead of a join of every pair.
-    listed = experiments.agg(F.collect_list(F.struct("experiment_id", "end_date"))).scalar()
-    eligible = accounts.select("*", F.inline(listed)).where(F.col("created_at").cast("date") <= F.col("end_date"))
-    for experiment, rule in (eligibility or {}).items():
+    blocks = max(1, -(-t["experiments"].count() // EXPERIMENTS_AT_ONCE))
+    experiments = t["experiments"].select("experiment_id", "end_date", F.pmod(F.xxhash64("experiment_id"), F.lit(blocks)).alias("_block"))
+    frames = []
+    for block in range(blocks):
+        listed = experiments.where(F.col("_block") == block).agg(F.collect_list(F.struct("experiment_id", "end_date"))).scalar()
+        frames.append(accounts.select("*", F.inline(listed)).where(F.col("created_at").cast("date") <= F.col("end_date")))
+    eligible = reduce(DataFrame.unionByName, frames)
+    for experiment, rule in eligibility.items():
         eligible = eligible.where((F.col("experiment_id") != experiment) | F.expr(rule))
-    digest = F.md5(F.concat_ws("|", "experiment_id", F.col("account_id").cast("string")))
-    ranked = rank_in_slices(
-        eligible.withColumn("_digest", digest), ["experiment_id"], F.substring("_digest", 1, 3), ["_digest", "account_id"]
+    return eligible.withColumn("_digest", F.md5(F.concat_ws("|", "experiment_id", F.col("account_id").cast("string"))))
+
+
+def experiment_assign(t, eligibility: dict[str, str] | None = None, floor: int = 80, fraction: float = 0.35) -> DataFrame:
+    """Balanced assignment of a hash-ordered sample of eligible accounts per experiment.
+
+    The order is a digest of experiment and account, so it is stable and spreads evenly.  Accounts are counted by slice of the
+    digest first, which tells the slice where the sample ends; only rows up to there are moved and ranked.
+    """
+    eligible = _eligible(t, eligibility or {}).withColumn("_slice", F.substring("_digest", 1, SLICE_DIGITS))
+    whole = Window.partitionBy("experiment_id")
+    earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    rows = F.sum("_n").over(whole)
+    slices = eligible.groupBy("experiment_id", "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        "experiment_id",
+        "_slice",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.least(rows, F.greatest(F.lit(floor), F.floor(rows * F.lit(fraction)))).alias("_wanted"),
     )
-    wanted = F.least(F.col("_group_rows"), F.greatest(F.lit(floor), F.floor(F.col("_group_rows") * F.lit(fraction))))
-    return ranked.where(F.col("_rank") <= wanted).select(
+    # Slices up to the end of the sample: as many at most as a digest has, for every experiment.
+    sampled = eligible.join(slices.where("_before < _wanted"), ["experiment_id", "_slice"])
+    inside = Window.partitionBy("experiment_id", "_slice").orderBy("_digest", "account_id")
+    ranked = sampled.withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+    return ranked.where(F.col("_rank") <= F.col("_wanted")).select(
         "experiment_id",
         "account_id",
         F.when(F.col("_rank") % 2 == 1, "control").otherwise("treatment").alias("variant"),

@@ -278,3 +278,46 @@ def test_of_rules_sharing_a_day_the_last_to_start_is_in_force(spark):
         0: None, 1: "base", 49: "base", 50: "sale", 60: "sale", 61: "base", 99: "base", 100: "next", 109: "next",
         110: "n2", 120: "n2", 121: None,
     } and len(got) == 12
+
+
+def test_rules_in_force_against_brute_force(spark):
+    import random
+
+    rng = random.Random(11)
+    day = dt.date(1969, 6, 1)
+    rules = []
+    for i in range(300):
+        first = rng.randrange(800)
+        rules.append((rng.choice("ab"), day + dt.timedelta(first), day + dt.timedelta(first + rng.choice([-1, 0, 1, 3, 30, 500, 4000])), i))
+    frame = spark.createDataFrame(rules, "k string, s date, e date, p int")
+    facts = spark.createDataFrame([(k, day + dt.timedelta(d)) for k in "abc" for d in range(-5, 900, 3)], "k string, d date")
+    for got in (valid_on(facts, frame, ["k"], "d", "s", "e").collect(), valid_on(facts.limit(0), frame, ["k"], "d", "s", "e").collect()):
+        for row in got:
+            held = [(s, e, p) for k, s, e, p in rules if k == row["k"] and s <= row["d"] <= e]
+            assert row["p"] == (max(held)[2] if held else None)
+    assert valid_on(facts, frame.limit(0), ["k"], "d", "s", "e").where("p is not null").isEmpty()
+
+
+def test_a_key_with_very_many_rules_takes_linear_work(spark):
+    rules = spark.range(100_000).selectExpr("'a' k", "date_add(date '1900-01-01', int(id % 50000)) s", "date_add(date '1900-01-01', int(id % 50000 + id % 900)) e", "id p")
+    facts = spark.range(20_000).selectExpr("'a' k", "date_add(date '1900-01-01', int(id * 2)) d", "id")
+    found = valid_on(facts, rules, ["k"], "d", "s", "e").where("d between s and e and s = d")
+    # The rule that starts on the day itself is the last one to start, of two the one that ends later.
+    assert found.count() == 20_000 and found.where("p % 900 < (p + 50000) % 900 and p < 50000").isEmpty()
+
+
+def test_assignment_takes_the_first_accounts_by_digest(spark, tables, monkeypatch):
+    import hashlib
+
+    accounts = [{"account_id": f"a{i}", "created_at": "2024-01-01 00:00:00", "country_code": "DE", "segment": "small", "sales_motion": "x"} for i in range(700)]
+    ends = {"e1": "2024-05-01", "e2": "2023-05-01", "e3": "2024-06-01"}
+    t = tables(accounts=accounts, experiments=[{"experiment_id": e, "end_date": d} for e, d in ends.items()])
+    monkeypatch.setattr(derive, "EXPERIMENTS_AT_ONCE", 1)
+    got = {(r["experiment_id"], r["account_id"]): r["variant"] for r in derive.experiment_assign(t, {"e3": "account_id < 'a2'"}).collect()}
+    want = {}
+    for e in ("e1", "e3"):
+        mine = sorted((hashlib.md5(f"{e}|{a['account_id']}".encode()).hexdigest(), a["account_id"]) for a in accounts if e == "e1" or a["account_id"] < "a2")
+        for i, (_, a) in enumerate(mine[: min(len(mine), max(80, int(len(mine) * 0.35)))]):
+            want[e, a] = "treatment" if i % 2 else "control"
+    assert got == want
+    assert derive.experiment_assign(tables(accounts=accounts)).isEmpty()
