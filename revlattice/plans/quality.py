@@ -100,17 +100,17 @@ def column_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] = tupl
     for table in tables:
         contract = CONTRACTS[table]
         if table not in landing:
-            declared.append((f"{table}.exists", table, "table_exists", "error", False, 1, "Table is missing."))
+            declared.append((f"{table}.exists", table, "table_exists", "error", False, 1, "No such table was landed."))
             continue
         frame = landing[table]
         missing = sorted(set(contract.columns) - set(frame.columns))
         unexpected = sorted(set(frame.columns) - set(contract.columns))
-        details = f"Missing columns: {missing}; unexpected columns: {unexpected}"
+        details = f"Columns not found: {missing}; not in the contract: {unexpected}"
         declared.append((f"{table}.columns", table, "schema", "error", not missing, len(missing), details))
         if missing:
             continue
         checks += [
-            Check(f"{table}.{c}.type", table, "type", f"Column {c} conforms to logical type {kind}.")
+            Check(f"{table}.{c}.type", table, "type", f"Every value of {c} reads as {kind}.")
             for c, kind in contract.columns.items()
         ]
         # Text columns cannot fail, so only the others are looked at.
@@ -154,8 +154,8 @@ def primary_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] =
             )
         )
         checks += [
-            Check(f"{table}.pk_not_null", table, "primary_key", f"Primary key {key} is not null."),
-            Check(f"{table}.pk_unique", table, "primary_key", f"Primary key {key} is unique."),
+            Check(f"{table}.pk_not_null", table, "primary_key", f"No part of the key {key} is empty."),
+            Check(f"{table}.pk_unique", table, "primary_key", f"No two rows share the key {key}."),
         ]
     per_key = _union(keyed).groupBy("_table", "_key", "_has_null").agg(F.count(F.lit(1)).alias("n"))
     per_table = per_key.groupBy("_table").agg(
@@ -200,7 +200,7 @@ def foreign_key_checks(landing: Mapping[str, DataFrame], tables: Sequence[str] =
             slot = places.get(parent, 0)
             places[parent] = slot + 1
             cells.append(f"struct({place} as _parent, cast({column} as string) as _key, {slot} as _slot)")
-            details = f"Foreign key ['{column}'] references {parent}(['{CONTRACTS[parent].key[0]}'])."
+            details = f"Every {column} is a {CONTRACTS[parent].key[0]} of {parent}."
             checks.append(Check(f"{table}.fk_{number}", table, "foreign_key", details))
             slots.append((f"{table}.fk_{number}", place, slot))
         if cells:

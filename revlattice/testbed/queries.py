@@ -1118,7 +1118,7 @@ def _column_check_sql() -> str:
     rows = []
     for table, contract in CONTRACTS.items():
         missing, extra = sorted(DROPPED.get(table, ())), sorted(ADDED.get(table, {}))
-        details = f"Missing columns: {missing}; unexpected columns: {extra}"
+        details = f"Columns not found: {missing}; not in the contract: {extra}"
         rows.append(_check_row(f"{table}.columns", table, "schema", str(len(missing)), details))
         if missing:
             continue
@@ -1126,7 +1126,7 @@ def _column_check_sql() -> str:
         kinds = "map {" + ", ".join(f"'{c}': '{k}'" for c, k in contract.columns.items()) + "}"
         rows.append(
             f"select '{table}.' || c || '.type', '{table}', 'type', 'error', bad = 0, bad,"
-            f" 'Column ' || c || ' conforms to logical type ' || {kinds}[c] || '.'"
+            f" 'Every value of ' || c || ' reads as ' || {kinds}[c] || '.'"
             f" from (unpivot (select {counts} from {{text:{table}}}) on columns(*) into name c value bad) u"
         )
     return " union all ".join(rows)
@@ -1139,7 +1139,7 @@ def _primary_key_sql() -> str:
         nulls = " or ".join(f"{k} is null" for k in contract.key)
         rows.append(
             _check_row(
-                f"{table}.pk_not_null", table, "primary_key", n(nulls), f"Primary key {names} is not null.", f" from {{text:{table}}}"
+                f"{table}.pk_not_null", table, "primary_key", n(nulls), f"No part of the key {names} is empty.", f" from {{text:{table}}}"
             )
         )
         rows.append(
@@ -1148,7 +1148,7 @@ def _primary_key_sql() -> str:
                 table,
                 "primary_key",
                 "coalesce(sum(n) filter (where n > 1), 0)",
-                f"Primary key {names} is unique.",
+                f"No two rows share the key {names}.",
                 f" from (select count(*) as n from {{text:{table}}} group by {keys}) k",
             )
         )
@@ -1166,7 +1166,7 @@ def _foreign_key_sql() -> str:
                     table,
                     "foreign_key",
                     n("orphan"),
-                    f"Foreign key ['{column}'] references {parent}(['{key}']).",
+                    f"Every {column} is a {key} of {parent}.",
                     f" from (select {column} is not null and not exists (select 1 from {{text:{parent}}} p"
                     f" where p.{key} = c.{column}) as orphan from {{text:{table}}} c) o",
                 )
