@@ -3,13 +3,16 @@
 Documents are read in chunks of bounded size. A chunk numbers its distinct keys (words, n-grams) and holds its documents as
 sequences of those numbers, which are their positions. Only the distinct keys of a chunk are shuffled, packed by part of the
 key space; every part sees each key of the corpus once, answers it, and the answers return to the chunks, where sequence
-and answers meet. Rows shuffled are never more than distinct keys per chunk.
+and answers meet. A chunk has one row for each part that it has keys of, a few bytes more than the keys: rows are never more
+than distinct keys per chunk, however many parts there are.
 """
 
 from __future__ import annotations
 
+import hashlib
+import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +22,13 @@ from pyspark.sql import functions as F
 
 from revlattice.llm.common import groups_for, small_batches
 
-CHUNK_CHARS = 16_000_000
-PART_CHARS = 16_000_000
-SCHEMA = "chunk long, part int, data binary"
+CHUNK_CHARS = 5_000_000
+#: Characters of the corpus for each part, and the fewest parts.
+PART_CHARS, PARTS = 64_000_000, 64
+#: ``digest`` tells one reading of a chunk from another: it is that of all its keys in turn.
+SCHEMA = "chunk long, part int, digest long, data binary"
+KEYS = {"key": pa.large_binary(), "count": pa.int64()}
+GRAMS = {"key": pa.int64(), "count": pa.int64()}
 #: The part number of a chunk's documents.
 DOCS = -1
 
@@ -41,6 +48,50 @@ def unpacked(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
+def sealed(columns: Mapping[str, np.ndarray | pa.Array]) -> bytes:
+    """Columns as bytes that only a reader who knows their kinds can open: a stream of Arrow tells them anew in every cell.
+
+    A column is numbers, or binary or list values as their lengths and what is in them.
+    """
+    out = []
+    for column in columns.values():
+        if isinstance(column, np.ndarray):
+            out.append(column)
+        else:
+            out.append(pa.compute.fill_null(pa.compute.binary_length(column) if not hasattr(column, "flatten") else pa.compute.list_value_length(column), 0).to_numpy().astype(np.uint32))
+            out.append(column.flatten().to_numpy() if hasattr(column, "flatten") else np.frombuffer(b"".join(column.to_pylist()), np.uint8))
+    raw = b"".join(x.tobytes() for x in out)
+    sizes = struct.pack(f"<{len(out) + 1}I", len(raw), *(len(x) for x in out))
+    return sizes + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def opened(data: bytes, kinds: Mapping[str, pa.DataType]) -> dict[str, pa.Array]:
+    """The columns that ``sealed`` packed; they need not have one length."""
+    nested = {n: pa.types.is_large_binary(k) or pa.types.is_list(k) for n, k in kinds.items()}
+    header = struct.Struct(f"<{1 + len(kinds) + sum(nested.values())}I")
+    total, *sizes = header.unpack_from(data)
+    raw, at = memoryview(pa.decompress(data[header.size :], total, codec="zstd")), 0
+    columns, sizes = [], iter(sizes)
+
+    def take(dtype) -> np.ndarray:
+        nonlocal at
+        n = next(sizes)
+        found = np.frombuffer(raw, dtype, n, at)
+        at += found.nbytes
+        return found
+
+    for name, kind in kinds.items():
+        if not nested[name]:
+            columns.append(pa.array(take(kind.to_pandas_dtype())))
+            continue
+        offsets = np.concatenate(([0], np.cumsum(take(np.uint32), dtype=np.int64)))
+        if pa.types.is_list(kind):
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(take(kind.value_type.to_pandas_dtype()))))
+        else:
+            columns.append(pa.LargeBinaryArray.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(take(np.uint8).tobytes())]))
+    return dict(zip(kinds, columns, strict=True))
+
+
 def flat(column: pa.ChunkedArray) -> pa.Array:
     """One array of a column, also where it has no chunks."""
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
@@ -76,8 +127,16 @@ def parts_of(keys: pa.Array, parts: int) -> np.ndarray:
 
 
 def part_count(docs: DataFrame, part_chars: int = PART_CHARS) -> int:
-    """Parts of the key space in proportion to the characters of the corpus."""
-    return groups_for(docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0], part_chars, 4)
+    """Parts of the key space: as many as a corpus of some size needs for a part to fit one task, and never few."""
+    return groups_for(docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0], part_chars, PARTS)
+
+
+def _digest(keys: pa.Array) -> int:
+    """64 bits of all keys in turn."""
+    found = hashlib.blake2b(digest_size=8)
+    for key in keys.buffers()[1:]:
+        found.update(key or b"")
+    return int.from_bytes(found.digest(), "little", signed=True)
 
 
 def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = CHUNK_CHARS, exchanged: bool = True) -> DataFrame:
@@ -94,11 +153,13 @@ def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = C
         chunk = TaskContext.get().partitionId() << 32
         ids, texts, learn, chars = [], [], [], 0
 
-        def row(part: int, table: pa.Table) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([packed(table)], pa.binary())], names=["chunk", "part", "data"])
+        def row(part: int, digest: int, data: bytes) -> pa.RecordBatch:
+            columns = [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([digest], pa.int64()), pa.array([data], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "digest", "data"])
 
         def rows() -> Iterator[pa.RecordBatch]:
             lengths, sequence, keys, times = number(texts)
+            texts.clear()
             where = parts_of(keys, parts)
             order = np.argsort(where, kind="stable")
             place = np.empty(len(order), dtype=np.int32)
@@ -111,11 +172,14 @@ def chunked(docs: DataFrame, number: Numbering, parts: int, chunk_chars: int = C
             table = pa.table({"doc_id": pa.array(ids, pa.int64()), "learn": pa.array(learn, pa.bool_()), "keys": lists})
             if times is not None:
                 table = table.append_column("times", pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(times, pa.int32())))
-            yield row(DOCS, table.replace_schema_metadata({"keys": str(len(order))}))
             ordered = keys.take(pa.array(order))
+            digest = _digest(ordered)
+            yield row(DOCS, digest, packed(table.replace_schema_metadata({"keys": str(len(order))})))
+            del table, lists, sequence, learned
             starts = np.flatnonzero(np.diff(where[order], prepend=-1))
             for start, end in zip(starts, np.append(starts[1:], len(order)), strict=False):
-                yield row(int(where[order[start]]), pa.table({"key": ordered[start:end], "count": pa.array(counts[start:end], pa.int64())}))
+                some = ordered[start:end] if pa.types.is_large_binary(ordered.type) else ordered[start:end].to_numpy()
+                yield row(int(where[order[start]]), digest, sealed({"key": some, "count": counts[start:end]}))
 
         for batch in batches:
             for doc_id, text, learns in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -141,19 +205,20 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.compute.not_equal(batch.column(1), DOCS))
 
 
-def answered(pieces: DataFrame, answer: Callable[..., list[pa.Table]], side: DataFrame | None = None) -> DataFrame:
-    """``answer(part, tables)`` of every part's keys, as rows (chunk, part, data) for the chunks that asked.
+def answered(pieces: DataFrame, answer: Callable[..., list[dict]], side: DataFrame | None = None, kinds: Mapping[str, pa.DataType] = KEYS) -> DataFrame:
+    """``answer(part, tables)`` of every part's keys, a dict of columns for each table, as rows for the chunks that asked.
 
-    With ``side`` (part and more) the rows of the part are a third argument.
+    With ``side`` (part and more) the rows of the part are a third argument. ``kinds`` are those of the keys.
     """
-    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("digest", pa.int64()), ("data", pa.binary())])
 
     def run(rows: pa.Table, *more: pa.Table) -> pa.Table:
         if not len(rows):
             return schema.empty_table()
         part = rows.column("part")[0].as_py()
-        tables = answer(part, [unpacked(d) for d in rows.column("data").to_pylist()], *more)
-        return pa.table([flat(rows.column("chunk")), flat(rows.column("part")), pa.array([packed(t) for t in tables], pa.binary())], schema=schema)
+        tables = answer(part, [pa.table(opened(d, kinds)) for d in rows.column("data").to_pylist()], *more)
+        same = [flat(rows.column(c)) for c in ("chunk", "part", "digest")]
+        return pa.table([*same, pa.array([sealed(t) for t in tables], pa.binary())], schema=schema)
 
     def pair(rows: pa.Table, more: pa.Table) -> pa.Table:
         return run(rows, more)
@@ -165,11 +230,11 @@ def answered(pieces: DataFrame, answer: Callable[..., list[pa.Table]], side: Dat
     return keys.applyInArrow(single, SCHEMA) if side is None else keys.cogroup(side.groupBy("part")).applyInArrow(pair, SCHEMA)
 
 
-def summarised(pieces: DataFrame, summary: Callable[[int, list[pa.Table]], pa.Table], schema: str) -> DataFrame:
+def summarised(pieces: DataFrame, summary: Callable[[int, list[pa.Table]], pa.Table], schema: str, kinds: Mapping[str, pa.DataType] = KEYS) -> DataFrame:
     """``summary(part, tables)`` of every part's keys."""
 
     def run(rows: pa.Table) -> pa.Table:
-        return summary(rows.column("part")[0].as_py(), [unpacked(d) for d in rows.column("data").to_pylist()])
+        return summary(rows.column("part")[0].as_py(), [pa.table(opened(d, kinds)) for d in rows.column("data").to_pylist()])
 
     return pieces.mapInArrow(_keys, SCHEMA).groupBy("part").applyInArrow(run, schema)
 
@@ -183,17 +248,26 @@ def totals(tables: list[pa.Table]) -> tuple[pa.Array, np.ndarray, list[np.ndarra
     return keys.dictionary, counts, np.split(numbers, ends[:-1])
 
 
-def reassembled(pieces: DataFrame, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+def met(texts: pa.Table, answers: pa.Table, kinds: Mapping[str, pa.DataType]) -> tuple[pa.Table, list[int], list[pa.Table]]:
+    """A chunk's documents, the parts it has keys of, and their answers in the order of its key numbers.
+
+    Raises where the two sides stem from different readings of the chunk.
+    """
+    place = pa.compute.index(texts.column("part"), DOCS).as_py()
+    docs, digest = unpacked(texts.column("data")[place].as_py()), texts.column("digest")[place].as_py()
+    answers = answers.sort_by("part")
+    tables = [pa.table(opened(d, kinds)) for d in answers.column("data").to_pylist()]
+    if sum(map(len, tables)) != int(docs.schema.metadata[b"keys"]) or any(d != digest for d in answers.column("digest").to_pylist()):
+        raise ValueError("a chunk was read anew in another order")
+    return docs, answers.column("part").to_pylist(), tables
+
+
+def reassembled(pieces: DataFrame, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str, kinds: Mapping[str, pa.DataType]) -> DataFrame:
     """``finish(documents, answers)`` of every chunk; answers are in the order of the chunk's key numbers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        docs = unpacked(left.filter(pa.compute.equal(left.column("part"), DOCS)).column("data")[0].as_py())
-        right = right.sort_by("part")
-        tables = [unpacked(d) for d in right.column("data").to_pylist()]
-        together = pa.concat_tables(tables).combine_chunks() if tables else pa.table({})
-        if len(together) != int(docs.schema.metadata[b"keys"]):
-            raise ValueError("a chunk was read anew in another order")
-        return finish(docs, together)
+        docs, _, tables = met(left, right, kinds)
+        return finish(docs, pa.concat_tables(tables).combine_chunks() if tables else pa.table({n: pa.array([], k) for n, k in kinds.items()}))
 
     return pieces.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 

@@ -28,7 +28,12 @@ ROUNDS, GAIN = 8, 0.005
 BLOCK, FEW = 2048, 8
 #: The token that ends a text; no word holds a blank.
 END = b" "
-TALLIED = "chunk long, part int, data binary, sums array<long>"
+TALLIED = "chunk long, part int, digest long, data binary, sums array<long>"
+#: What a part answers at first and after a round, and what a chunk tells it: the words' numbers, classes, counts beside
+#: themselves, and the classes before and behind them with their counts.
+FIRST = {"count": pa.int64(), "number": pa.int32(), "unit": pa.int16()}
+PLACED = {"count": pa.int64(), "number": pa.int32(), "class": pa.int16()}
+TOLD = {"number": pa.int32(), "class": pa.int16(), "own": pa.int32(), "before": pa.int64(), "before_n": pa.int32(), "after": pa.int64(), "after_n": pa.int32()}
 COUNTED = "kind string, key binary, unit int, count long, types long"
 SCORED = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -231,35 +236,32 @@ def exchanged(old: np.ndarray, before: tuple[np.ndarray, np.ndarray, np.ndarray]
     return assigned
 
 
-def _tally(texts: pa.Table, answers: pa.Table, assigned: np.ndarray, classes: int, send: bool) -> pa.Table:
+def _tally(texts: pa.Table, answers: pa.Table, kinds: dict, assigned: np.ndarray, classes: int, send: bool) -> pa.Table:
     """A chunk's class pairs (part -1) and, for every part, its words' numbers, classes and counts with neighbouring classes."""
     chunk = texts.column("chunk")[0].as_py()
-    docs = chunks.unpacked(texts.filter(pa.compute.equal(texts.column("part"), chunks.DOCS)).column("data")[0].as_py())
-    answers = answers.sort_by("part")
-    tables = [chunks.unpacked(d) for d in answers.column("data").to_pylist()]
+    digest = texts.column("digest")[0].as_py()
+    docs, parts, tables = chunks.met(texts, answers, kinds)
     together = pa.concat_tables(tables).combine_chunks()
-    if len(together) != int(docs.schema.metadata[b"keys"]):
-        raise ValueError("a chunk was read anew in another order")
     of, numbers = _classes(together, assigned), together.column("number").to_numpy()
     learned = [k for k, learns in zip(chunks.each_document(docs), docs.column("learn").to_pylist(), strict=True) if learns]
     word = np.concatenate(learned).astype(np.int64) if learned else np.zeros(0, np.int64)
     # Every text closes with the end, which therefore precedes the next one.
     last = np.roll(word, 1)
     pairs = np.bincount(of[last] * classes + of[word], minlength=classes**2).astype(np.int64)
-    rows = [(chunk, chunks.DOCS, None, pairs.tolist())]
+    rows = [(chunk, chunks.DOCS, digest, None, pairs.tolist())]
     if send:
         sides = [np.unique(own * classes + of[near], return_counts=True) for own, near in ((word, last), (last, word))]
         selves = np.bincount(word[word == last], minlength=len(of))
         ends = np.cumsum([len(t) for t in tables])
-        for part, start, end in zip(answers.column("part").to_pylist(), [0, *ends[:-1]], ends, strict=True):
-            columns = {"number": [numbers[start:end]], "class": [of[start:end].astype(np.int16)], "own": [selves[start:end].astype(np.int32)]}
+        for part, start, end in zip(parts, [0, *ends[:-1]], ends, strict=True):
+            columns = {"number": numbers[start:end], "class": of[start:end].astype(np.int16), "own": selves[start:end].astype(np.int32)}
             for name, (codes, n) in zip(("before", "after"), sides, strict=True):
                 a, b = np.searchsorted(codes, (start * classes, end * classes))
                 # Steps between sorted numbers pack better than the numbers.
-                columns[name], columns[f"{name}_n"] = [np.diff(codes[a:b] - start * classes, prepend=0)], [n[a:b].astype(np.int32)]
-            rows.append((chunk, part, chunks.packed(pa.table(columns)), None))
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "part", "data", "sums"])
+                columns[name], columns[f"{name}_n"] = np.diff(codes[a:b] - start * classes, prepend=0), n[a:b].astype(np.int32)
+            rows.append((chunk, part, digest, chunks.sealed(columns), None))
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names=["chunk", "part", "digest", "data", "sums"])
 
 
 def _classes(found: pa.Table, assigned: np.ndarray) -> np.ndarray:
@@ -270,8 +272,8 @@ def _classes(found: pa.Table, assigned: np.ndarray) -> np.ndarray:
 def _settled(rows: pa.Table, table: np.ndarray) -> pa.Table:
     """A part's words exchanged against ``table``: count, number and class for every chunk, and ``sums``: words by class."""
     classes = len(table)
-    told = [chunks.unpacked(d) for d in rows.column("data").to_pylist()]
-    flat = lambda t, name: chunks.flat(t.column(name)).values.to_numpy()
+    told = [chunks.opened(d, TOLD) for d in rows.column("data").to_pylist()]
+    flat = lambda t, name: t[name].to_numpy()
     numbers = [flat(t, "number") for t in told]
     words = max(int(x.max()) for x in numbers) + 1
     old, own = np.zeros(words, dtype=np.int64), np.zeros(words, dtype=np.int64)
@@ -291,14 +293,14 @@ def _settled(rows: pa.Table, table: np.ndarray) -> pa.Table:
     # Words that training lacks stay with their ending.
     new = np.where(counts > 0, new, old)
     sums = np.bincount(new[counts > 0], minlength=classes).tolist()
-    data = [chunks.packed(pa.table({"count": counts[x], "number": x, "class": new[x].astype(np.int16)})) for x in numbers]
-    columns = [chunks.flat(rows.column("chunk")), chunks.flat(rows.column("part")), pa.array(data, pa.binary())]
-    return pa.table([*columns, pa.array([sums] + [None] * (len(data) - 1), pa.list_(pa.int64()))], names=["chunk", "part", "data", "sums"])
+    data = [chunks.sealed({"count": counts[x], "number": x, "class": new[x].astype(np.int16)}) for x in numbers]
+    columns = [*(chunks.flat(rows.column(c)) for c in ("chunk", "part", "digest")), pa.array(data, pa.binary())]
+    return pa.table([*columns, pa.array([sums] + [None] * (len(data) - 1), pa.list_(pa.int64()))], names=["chunk", "part", "digest", "data", "sums"])
 
 
-def _tallying(assigned: np.ndarray, classes: int, send: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _tallying(kinds: dict, assigned: np.ndarray, classes: int, send: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        return _tally(texts, answers, assigned, classes, send)
+        return _tally(texts, answers, kinds, assigned, classes, send)
 
     return run
 
@@ -318,25 +320,25 @@ def _summed(rows: DataFrame, length: int) -> np.ndarray:
     return total
 
 
-def placed(texts: DataFrame, answers: DataFrame, assigned: np.ndarray, types: np.ndarray, classes: int, tokens: int, rounds: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Rounds over all words: the answers with the likeliest classes, the table of class pairs and the words by class."""
-    best, last = None, -np.inf
+def placed(texts: DataFrame, answers: DataFrame, assigned: np.ndarray, types: np.ndarray, classes: int, tokens: int, rounds: int) -> tuple[DataFrame, dict, np.ndarray, np.ndarray]:
+    """Rounds over all words: the answers with the likeliest classes, their kinds, the table of class pairs and the words by class."""
+    best, last, kinds = None, -np.inf, FIRST
     for number in range(rounds + 1):
         send = number < rounds and tokens > 0
 
-        told = texts.groupBy("chunk").cogroup(answers.select("chunk", "part", "data").groupBy("chunk"))
-        told = written(told.applyInArrow(_tallying(assigned, classes, send), TALLIED), "tallied")
+        told = texts.groupBy("chunk").cogroup(answers.select("chunk", "part", "digest", "data").groupBy("chunk"))
+        told = written(told.applyInArrow(_tallying(kinds, assigned, classes, send), TALLIED), "tallied")
         table = _summed(told, classes**2).reshape(classes, classes)
         found = likelihood(table)
         if best is None or found > best[0]:
-            best = (found, answers, table, types)
+            best = (found, answers, kinds, table, types)
         if not send or found - last < GAIN * tokens:
             break
         last = found
         answers = written(told.filter(F.col("part") != chunks.DOCS).groupBy("part").applyInArrow(_settling(table), TALLIED), "placed")
-        types = _summed(answers, classes)
+        types, kinds = _summed(answers, classes), PLACED
         dropped(told)
-    return best[1].select("chunk", "part", "data"), best[2], best[3]
+    return best[1].select("chunk", "part", "digest", "data"), *best[2:]
 
 
 def score(
@@ -357,12 +359,12 @@ def score(
     units = frequent + ENDINGS
     shared = docs.sparkSession.sparkContext.broadcast(known.frequent)
 
-    def answer(part: int, tables: list[pa.Table]) -> list[pa.Table]:
+    def answer(part: int, tables: list[pa.Table]) -> list[dict]:
         keys, counts, numbers = chunks.totals(tables)
         unit = np.array([shared.value.get(k, -1) for k in keys.to_pylist()], dtype=np.int32)
         rare = np.flatnonzero(unit < 0)
         unit[rare] = [frequent + ending(k) for k in keys.take(pa.array(rare)).to_pylist()]
-        return [pa.table({"count": counts[n], "number": n.astype(np.int32), "unit": unit[n].astype(np.int16)}) for n in numbers]
+        return [{"count": counts[n], "number": n.astype(np.int32), "unit": unit[n].astype(np.int16)} for n in numbers]
 
     with shuffles_dropped(docs.sparkSession):
         answers = written(chunks.answered(pieces, answer), "answers")
@@ -379,10 +381,10 @@ def score(
         return pa.table({"a": (values // units).astype(np.int32), "b": (values % units).astype(np.int32), "n": n.astype(np.int64)})
 
     with shuffles_dropped(docs.sparkSession):
-        pairs = chunks.reassembled(texts, answers, neighbours, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        pairs = chunks.reassembled(texts, answers, neighbours, "a int, b int, n long", FIRST).groupBy("a", "b").agg(F.sum("n").alias("n"))
         assigned, _ = clusters(pairs, units, classes)
         types = np.bincount(assigned, known.unit_types, classes)
-        answers, table, types = placed(texts, answers, assigned, types, classes, known.tokens, rounds)
+        answers, kinds, table, types = placed(texts, answers, assigned, types, classes, known.tokens, rounds)
     usual = (table.sum(axis=0) + 1) / (table.sum() + classes)
     moves = np.log10((table + classes * usual) / (table.sum(axis=1, keepdims=True) + classes))
     # Every token is the second of one pair.
@@ -404,5 +406,5 @@ def score(
         columns = [chunks.flat(documents.column("doc_id")), chunks.flat(documents.column("learn")), pa.array(n), pa.array(seen), pa.array(bases), pa.array(scores)]
         return pa.table(columns, names=names)
 
-    scored = chunks.reassembled(texts, answers, finish, SCORED)
+    scored = chunks.reassembled(texts, answers, finish, SCORED, kinds)
     return scored.withColumn("train_tokens", F.lit(known.tokens).cast("long"))

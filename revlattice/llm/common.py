@@ -2,34 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlattice.folders import shared_folder
+
 #: White space of the contracts: blank, and tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a folder of its own on a local master where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if context.applicationId not in _own:
-        _own[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='llm-stages-')}"
-    return _own[context.applicationId]
-
-
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: later steps read it, and a lost executor costs only a reread."""
     spark = frame.sparkSession
@@ -76,3 +61,14 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def groups_for(rows: int, each: int, least: int = 1) -> int:
     """How many groups hold about ``each`` rows."""
     return max(least, -(-rows // each))
+
+
+def hash_cutoffs(counts: dict, wanted: Callable[[object], int], factor: int = 2) -> dict:
+    """For each key with so many rows: the 64-bit hash below which about ``factor`` times the wanted rows fall."""
+    return {k: (1 << 63) - 1 if factor * wanted(k) >= n else -(1 << 63) + (1 << 64) * factor * wanted(k) // n for k, n in counts.items()}
+
+
+def below_cutoff(key: str, hashed: Column, cutoffs: dict) -> Column:
+    """Whether the hash of a row is at most the cutoff of its key; there are few keys."""
+    held = [F.when(F.col(key) == k, hashed <= F.lit(cut)) for k, cut in cutoffs.items()]
+    return F.coalesce(*held, F.lit(False))
