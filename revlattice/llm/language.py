@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlattice.llm.common import small_batches
+from revlattice.llm.common import below_cutoff, hash_cutoffs, small_batches
 
 PASSAGES, PASSAGE_CHARS = 400, 256
 PIECE_BYTES = 2048
@@ -33,21 +33,35 @@ def train_dictionaries(labelled: DataFrame, passages: int = PASSAGES, chars: int
     """A dictionary per language from ``labelled`` (doc_id, text, lang).
 
     The fit is a bounded sample: ``passages`` documents per language with the smallest id hash give one passage of
-    ``chars`` characters each, so at most passages x chars characters per language reach the driver. Rows with a null
-    language or without a letter teach nothing.
+    ``chars`` characters each, so at most passages x chars characters per language reach the driver. Rows are counted by
+    language first, and only those below a hash that leaves about twice as many are ranked. Rows with a null language or
+    without a letter teach nothing.
     """
-    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", letters_only("text").alias("text"))
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    factor = 2
+    while True:
+        found = _passages(labelled, hash_cutoffs(counts, lambda _: passages, factor), passages, chars)
+        # With a cutoff that left too few the next ones in order are missing: look further.
+        if all(len(found.get(lang, ())) >= min(passages, n) for lang, n in counts.items()):
+            return {lang: "\n".join(some).encode() for lang, some in sorted(found.items())}
+        factor *= 4
+
+
+def _passages(labelled: DataFrame, cutoffs: dict[str, int], passages: int, chars: int) -> dict[str, list[str]]:
+    """The first passages of every language in the order of the ids' hashes, among the rows up to its cutoff."""
+    some = labelled.filter(below_cutoff("lang", F.xxhash64("doc_id"), cutoffs)).select("doc_id", "lang", letters_only("text").alias("text"))
     at = F.lit(1) + F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.length("text") - chars, F.lit(1)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "passage")
     rows = (
-        labelled.select("lang", "doc_id", F.substring("text", at.cast("int"), F.lit(chars)).alias("passage"))
+        some.select("lang", "doc_id", F.substring("text", at.cast("int"), F.lit(chars)).alias("passage"))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= passages)
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "passage"))).alias("passages"))
         .collect()
     )
-    return {r["lang"]: "\n".join(p["passage"] for p in r["passages"]).encode() for r in sorted(rows, key=lambda r: r["lang"])}
+    return {r["lang"]: [p["passage"] for p in r["passages"]] for r in rows}
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = NARROW) -> DataFrame:

@@ -18,10 +18,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlattice.llm.common import small_batches
+from revlattice.llm.common import below_cutoff, hash_cutoffs, small_batches, written
 from revlattice.llm.wordhash import Hashed, mixed_bits, segments, words
 
 TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_CHARS = 1500, 4000, 12_000
+#: Chains (pieces of sentences) that the field is trained on: all that hold a toxic token, and clean ones up to this number.
 FIT_CHAINS = 40_000
 SLOTS = 1 << 18
 CHAIN = 128
@@ -150,8 +151,12 @@ def folded(text: str) -> str:
     return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
 
 
-def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
-    """Trains on a bounded sample; ``share`` is the share of toxic documents among all labelled ones."""
+def fit(texts: list[str], toxic: np.ndarray, share: float, fit_chains: int = FIT_CHAINS) -> Field:
+    """Trains on a bounded sample; ``share`` is the share of toxic documents among all labelled ones.
+
+    Every chain with a toxic token is used, and so many clean ones, by the hash of their number, that there are
+    ``fit_chains`` in all. The calibration uses all texts whole.
+    """
     data = [folded(t).encode("utf-8", "surrogatepass") for t in texts]
     pieces = [tokenised(*piece) for piece in segments(data)]
     shifts = np.cumsum([0, *(int(p.chain[-1]) + 1 if len(p.chain) else 0 for p in pieces)])
@@ -163,7 +168,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Field:
     chosen = np.zeros(int(shifts[-1]) + 1, dtype=bool)
     chosen[chain[label]] = True
     others = np.flatnonzero(~chosen)
-    others = others[np.argsort(mixed_bits(others.astype(np.uint64)), kind="stable")][: max(0, FIT_CHAINS - int(chosen.sum()))]
+    others = others[np.argsort(mixed_bits(others.astype(np.uint64)), kind="stable")][: max(0, fit_chains - int(chosen.sum()))]
     chosen[others] = True
     use = chosen[chain]
     f, y, c, at = features[:, use], label[use].astype(np.float64), chain[use], place[use]
@@ -209,27 +214,37 @@ def _calibrated(x: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float,
     return float(at[0]), float(at[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Field:
+def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE, sample_chars: int = SAMPLE_CHARS, fit_chains: int = FIT_CHAINS) -> Field:
     """A field from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0/1).
 
     The fit is a bounded sample: of labelled documents of at most ``sample_chars`` characters the ``toxic_sample`` toxic and
-    the ``clean_sample`` clean ones with the smallest id hash, trained in one task. Rows with a null id, text or label teach
-    nothing; without toxic rows every score is close to 0.
+    the ``clean_sample`` clean ones with the smallest id hash, and ``fit_chains`` chains of them, trained in one task. Ids are
+    counted by label first, and only those below a hash that leaves about twice as many are ranked. Rows with a null id,
+    text or label teach nothing; without toxic rows every score is close to 0.
     """
     known = docs.filter(F.col("text").isNotNull()).select("doc_id", (F.length("text") <= sample_chars).alias("short"))
     known = known.join(labels.filter(F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") == 1).alias("toxic")), "doc_id")
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(True, 0) / max(1, sum(counts.values()))
+    short = known.filter("short").select("doc_id", "toxic").distinct()
+    wanted = {True: toxic_sample, False: clean_sample}
+    sizes = {r["toxic"]: r["n"] for r in short.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.filter("short").select("doc_id", "toxic").distinct().withColumn("rank", F.row_number().over(order))
     limit = F.when(F.col("toxic"), toxic_sample).otherwise(clean_sample)
-    chosen = ranked.filter((F.col("rank") <= max(toxic_sample, clean_sample)) & (F.col("rank") <= limit)).select("doc_id", "toxic")
+    factor = 2
+    while True:
+        ranked = short.filter(below_cutoff("toxic", F.xxhash64("doc_id"), hash_cutoffs(sizes, wanted.get, factor)))
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+        chosen = written(ranked.select("doc_id", "toxic"), "sample")
+        if chosen.count() >= sum(min(wanted[k], n) for k, n in sizes.items()):
+            break
+        factor *= 4
     # At most the two sample sizes of ids, so the texts need not move to meet them.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.length("text") <= sample_chars)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "text"])
-        field = fit(rows["text"].tolist(), rows["toxic"].to_numpy(dtype=bool), share)
+        field = fit(rows["text"].tolist(), rows["toxic"].to_numpy(dtype=bool), share, fit_chains)
         return pd.DataFrame([(field.weights.tobytes(), field.bias, field.links.ravel().tolist(), field.slope, field.shift)], columns=["weights", "bias", "links", "slope", "shift"])
 
     row = sample.withColumn("fit", F.lit("all")).groupBy("fit").applyInPandas(run, "weights binary, bias double, links array<double>, slope double, shift double").first()
