@@ -44,8 +44,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
 
     ``targets`` maps a margin to (value, share). Values without a target or with a share that is not above 0 get weight 0;
     shares of values without cells are spread over the others. Each step scales one margin to its targets; a sweep is
-    written before the next, so the plan does not grow, and sweeps end when no margin is off by more than ``tolerance``.
-    The mean weight of a token is 1. No cells give no rows.
+    written before the next, so the plan does not grow. Sweeps end when no factor of a sweep was off 1 by more than
+    ``tolerance``, or after ``sweeps``, as targets that no weights meet would go on for ever: ``residual`` is what the largest
+    factor of the last sweep was off. The mean weight of a token is 1. No cells give no rows.
     """
     shares = {}
     for margin, target in targets.items():
@@ -58,6 +59,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         present = written(share.join(state.select(F.col(margin).alias("value")).distinct(), "value", "left_semi"), "target")
         whole = present.agg(F.sum("share")).first()[0] or 1.0
         shares[margin] = present.select(F.col("value").alias(margin), (F.col("share") / F.lit(whole)).alias("share"))
+    worst = None
     for _ in range(sweeps):
         for margin, share in shares.items():
             mass = state.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("mass"))
@@ -69,7 +71,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         state = state.drop(*(f"off_{m}" for m in shares))
         if worst is None or worst <= tolerance:
             break
-    return state.withColumn("weight", F.col("weight") * F.lit(float(total)))
+    return state.withColumn("weight", F.col("weight") * F.lit(float(total))).withColumn("residual", F.lit(worst).cast("double"))
 
 
 def _scale(weights: DataFrame, share: float | None) -> float:
@@ -84,14 +86,15 @@ def _scale(weights: DataFrame, share: float | None) -> float:
 
 
 def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None, share: float | None = None, carried: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, tokens, margins): weight, probability, selected, and the ``carried`` columns.
+    """One row per row of ``docs`` (doc_id, tokens, margins): weight, probability, selected, residual, and the ``carried`` columns.
 
     Margins are text. Targets come as (value, share) per margin, or from ``powers`` of the margin's own token sums. The
     probability of a document is its cell's weight over the largest weight, so that every one is at most 1 and kept tokens
     meet the targets in expectation. With ``share`` the weights are scaled further until about that share of all tokens is
     kept, cut at 1, so that cells which run out fall short of their target. Selection compares it with a draw
     from the id, so a rerun selects the same rows. Null margin values form a value of their own. Documents without tokens
-    (null or empty text) carry no weight: probability 0, not selected. Rows that repeat an id share its draw.
+    (null or empty text) carry no weight: probability 0, not selected. Rows that repeat an id share its draw. ``residual``
+    tells how far the margins are still off (see ``rake``), the same for all rows that have a weight.
     """
     keyed = docs.select("doc_id", "tokens", *(_key(m).alias(m) for m in margins), *(carried or ()))
     cells = written(cells_of(keyed, margins), "sums")
@@ -102,4 +105,4 @@ def mixed(docs: DataFrame, margins: list[str], powers: dict[str, float] | None =
     same = reduce(lambda a, b: a & b, (F.col(f"d.{m}") == F.col(f"w.{m}") for m in margins)) & (F.col("d.tokens") > 0)
     joined = keyed.alias("d").join(written(weights, "weights").alias("w"), same, "left")
     chance = F.coalesce("w.probability", F.lit(0.0))
-    return joined.select("d.doc_id", "d.tokens", F.coalesce("w.weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform_draw("d.doc_id") < chance).alias("selected"), *(f"d.{c}" for c in carried or ()))
+    return joined.select("d.doc_id", "d.tokens", F.coalesce("w.weight", F.lit(0.0)).alias("weight"), chance.alias("probability"), (uniform_draw("d.doc_id") < chance).alias("selected"), "w.residual", *(f"d.{c}" for c in carried or ()))
