@@ -73,38 +73,42 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "source", "lang")
     owned = docs.select("doc_id", "text", F.concat_ws("/", "source", "lang").alias("repo"), F.col("source").alias("owner"))
     found = secret_scan.scan(owned)
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_live", "n_example")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_live", "n_example", "most_owners", "most_repos")
 
 
 def _matches(kind: int, pattern: str, value: str) -> str:
     """SQL: matches of a pattern with their offsets, from the lengths of matches and of the pieces between them."""
     quoted = "'" + pattern.replace("'", "''") + "'"
     return f"""
-  SELECT doc_id, owner, {kind} AS kind, st, st + length(v) AS en, {value.format(quoted)} AS value FROM (
-    SELECT doc_id, owner, z[2] AS v, sum(length(z[3])) OVER w + coalesce(sum(length(z[2])) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
-    FROM (SELECT doc_id, owner, unnest(list_zip(range(1, len(vs) + 1), vs, string_split_regex(t, {quoted}))) AS z
-          FROM (SELECT doc_id, owner, t, regexp_extract_all(t, {quoted}) AS vs FROM d))
+  SELECT doc_id, owner, repo, {kind} AS kind, st, st + length(v) AS en, {value.format(quoted)} AS value FROM (
+    SELECT doc_id, owner, repo, z[2] AS v, sum(length(z[3])) OVER w + coalesce(sum(length(z[2])) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
+    FROM (SELECT doc_id, owner, repo, unnest(list_zip(range(1, len(vs) + 1), vs, string_split_regex(t, {quoted}))) AS z
+          FROM (SELECT doc_id, owner, repo, t, regexp_extract_all(t, {quoted}) AS vs FROM d))
     WHERE z[2] IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY z[1])) AS found"""
 
 
 _LISTED = "coalesce(string_agg(['assign', 'access', 'hex', 'owned'][kind] || ':' || CAST(st AS BIGINT) || ':' || CAST(en AS BIGINT), ',' ORDER BY st, kind){}, '')"
+_COMPARED = f"regexp_replace(regexp_replace(value, '{secret_scan.END_MARKS}', ''), '{secret_scan.NAME}', '')"
+_RANDOM = "length(value) >= 12 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')"
 
 ORACLES["op5_secret_scan"] = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '-') AS owner FROM documents),
-base AS (SELECT * FROM ({_matches(1, secret_scan.ASSIGN, "regexp_extract(v, {}, 2)")}) WHERE length(value) >= 6
-  UNION ALL {_matches(2, secret_scan.ACCESS, "v")} UNION ALL {_matches(3, secret_scan.HEX, "v")}),
-bare AS (SELECT * FROM ({_matches(4, secret_scan.BARE, "v")}) x WHERE length(value) >= 12 AND regexp_matches(value, '[0-9]')
-  AND regexp_matches(value, '[A-Za-z]') AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.st < x.en AND x.st < b.en)),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '-') AS owner, concat_ws('/', source, lang) AS repo FROM documents),
+base AS (SELECT * REPLACE ({_COMPARED} AS value) FROM (SELECT * FROM ({_matches(1, secret_scan.ASSIGN, "regexp_extract(v, {}, 2)")}) WHERE length(value) >= 6
+  UNION ALL {_matches(2, secret_scan.ACCESS, "v")} UNION ALL {_matches(3, secret_scan.HEX, "v")})),
+bare AS (SELECT * FROM (SELECT * REPLACE ({_COMPARED} AS value) FROM ({_matches(4, secret_scan.BARE, "v")})) x WHERE {_RANDOM}
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.st < x.en AND x.st < b.en)),
 spans AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
-held AS (SELECT value, count(DISTINCT owner) AS owners, bool_or(kind < 4) AS named,
-  count(DISTINCT owner) <= {secret_scan.LIVE_OWNERS} AND length(value) >= 12 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS live
+held AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT repo) AS repos, bool_or(kind < 4) AS named,
+  count(DISTINCT owner) <= {secret_scan.LIVE_OWNERS} AND count(DISTINCT repo) <= {secret_scan.LIVE_REPOS} AND {_RANDOM} AS live,
+  count(DISTINCT owner) > {secret_scan.EXAMPLE_OWNERS} OR count(DISTINCT repo) > {secret_scan.EXAMPLE_REPOS} AS example
   FROM spans GROUP BY value),
-told AS (SELECT s.*, h.owners, h.live FROM spans s JOIN held h ON h.value = s.value WHERE h.named AND (s.kind < 4 OR h.live)),
+told AS (SELECT s.*, h.owners, h.repos, h.live, h.example FROM spans s JOIN held h ON h.value = s.value WHERE h.named AND (s.kind < 4 OR h.live)),
 listed AS (SELECT doc_id, count(*) FILTER (kind = 1) AS n_assign, count(*) FILTER (kind = 2) AS n_access, count(*) FILTER (kind = 3) AS n_hex,
-  {_LISTED.format(" FILTER (kind < 4)")} AS base, {_LISTED.format("")} AS spans,
-  count(*) FILTER (live AND kind < 4) AS n_live, count(*) FILTER (owners > {secret_scan.EXAMPLE_OWNERS} AND kind < 4) AS n_example FROM told GROUP BY doc_id)
+  {_LISTED.format(" FILTER (kind < 4)")} AS base, {_LISTED.format("")} AS spans, count(*) FILTER (live AND kind < 4) AS n_live,
+  count(*) FILTER (example AND kind < 4) AS n_example, max(owners) FILTER (kind < 4) AS most_owners, max(repos) FILTER (kind < 4) AS most_repos FROM told GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos
 FROM d LEFT JOIN listed l ON l.doc_id = d.doc_id
 """
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from revlattice.llm import bpe, class_lm, common, exact_dedup, jaccard_join, kneser_ney, language, mixing, queries, secret_scan, topk, toxicity
+from revlattice.llm import bpe, chunks, class_lm, common, exact_dedup, jaccard_join, kneser_ney, language, mixing, queries, secret_scan, topk, toxicity
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 SAME = "the same text with more than five words in it"
@@ -429,3 +429,188 @@ def test_pipeline_stages_on_odd_rows(spark, monkeypatch):
     assert third.columns == docs.columns and third.count() == weighed.filter("selected").count()
     monkeypatch.setattr(mixing, "uniform_draw", lambda doc_id: F.lit(0.0))
     assert as_counts(corpus_pipeline.mixture(spark, docs, "")) == collections.Counter(r for r in rows if (r[1] or "").split())
+
+
+def test_repositories_and_marks_in_the_verdict_on_secrets(spark):
+    key = "Zq7Zq7Zq7Zq7"
+    rows = [(1, f"token = {key}.", None, "a"), (2, f"see k={key} here", None, "a"), (3, f"and {key}. And", None, "a"), (4, f"x{key}", None, "a")]
+    owned = lambda rows: frame(spark, rows).withColumn("owner", F.lit("o")).withColumn("repo", F.col("lang"))
+    got = {r["doc_id"]: r for r in secret_scan.scan(owned(rows)).collect()}
+    assert {i: r["spans"] for i, r in got.items()} == {1: "assign:0:21", 2: "owned:4:18", 3: "owned:4:17", 4: ""}
+    assert (got[1]["n_live"], got[1]["most_owners"], got[1]["most_repos"], got[4]["most_repos"]) == (1, 1, 1, 0)
+    # One owner, but more repositories than a live value is kept in; then so many that it must be an example.
+    many = lambda n: {r["doc_id"]: r for r in secret_scan.scan(owned([(i, f"token = {key}", f"r{i}", "a") for i in range(n)])).collect()}[0]
+    assert [(many(n)["n_live"], many(n)["n_example"]) for n in (2, 3, 9)] == [(1, 0), (0, 0), (0, 1)]
+
+
+def test_very_many_secrets_in_one_text(spark):
+    import time
+
+    text = " ".join(f"token={i:08d}a bare{i:08d}" for i in range(32_000))
+    docs = frame(spark, [(1, text, "en", "a")]).withColumn("repo", F.col("lang")).withColumn("owner", F.col("source"))
+    secret_scan.scan(docs.limit(1)).collect()
+    began = time.time()
+    row = secret_scan.scan(docs).collect()[0]
+    assert row["n_assign"] == 32_000 and row["base"] == brute_spans(text) and time.time() - began < 20
+
+
+def test_samples_take_few_more_rows_than_they_keep(spark, monkeypatch):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text", "if(id % 3 = 0, 'en', 'de') AS lang").repartition(40)
+    ranked = []
+    kept = language.below_cutoff
+    monkeypatch.setattr(language, "below_cutoff", lambda key, hashed, cut: ranked.append(docs.filter(kept(key, hashed, cut)).count()) or kept(key, hashed, cut))
+    learned = language.train_dictionaries(docs, passages=100)
+    assert ranked[0] <= 4 * 200 and all(c.count(b"\n") == 99 for c in learned.values())
+    order = sorted((r["h"], r["text"]) for r in docs.filter("lang = 'en'").select(F.xxhash64("doc_id").alias("h"), language.letters_only("text").alias("text")).collect())
+    assert len(learned["en"].split(b"\n")) == 100 and learned["en"].split(b"\n")[0].decode() in order[0][1]
+
+
+def test_a_chunk_that_is_read_in_another_order_is_refused(spark):
+    words = chunks.by_token(lambda text: text.split())
+    pieces = lambda text: chunks.chunked(frame(spark, [(1, text, None, None)]).selectExpr("doc_id", "text", "true AS learn"), words, 4)
+    rows = [pieces(t).toArrow() for t in ("a b c d e f", "f e d c b a")]
+    keys = [r.filter(chunks.pa.compute.not_equal(r.column("part"), chunks.DOCS)) for r in rows]
+    docs, parts, tables = chunks.met(rows[0], keys[0], chunks.KEYS)
+    assert sum(map(len, tables)) == 6 and parts == sorted(parts)
+    with pytest.raises(ValueError, match="another order"):
+        chunks.met(rows[0], keys[1], chunks.KEYS)
+
+
+def test_cells_of_chunks_grow_with_the_chunks(spark):
+    rng = random.Random(1)
+    names = [f"w{i}" for i in range(400)]
+
+    def cells(documents):
+        rows = [(i, " ".join(rng.choice(names) for _ in range(60)), None, None) for i in range(documents)]
+        docs = frame(spark, rows).selectExpr("doc_id", "text", "true AS learn").coalesce(1)
+        parts = chunks.part_count(docs)
+        found = chunks.chunked(docs, chunks.by_token(lambda text: text.split()), parts, chunk_chars=8000).toArrow()
+        return found.num_rows, max(len(d) for p, d in zip(found.column("part").to_pylist(), found.column("data").to_pylist(), strict=True) if p >= 0)
+
+    (few, size), (many, _) = cells(100), cells(400)
+    assert many <= 4.5 * few and size < 200
+
+
+def test_class_scores_against_their_classes(spark):
+    """Scores anew from what the model says of its classes: transitions and emissions from plain counts."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(WORDS[:8] if i % 2 else WORDS[8:]) for _ in range(rng.randrange(1, 20))) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, i % 4 > 0) for i, t in enumerate(texts)], "doc_id long, text string, learn boolean")
+    placed = {}
+    settle = class_lm.placed
+
+    def spy(*given):
+        answers, kinds, table, types = settle(*given)
+        rows = answers.collect()
+        units = given[2]
+        placed["of"] = {(r["chunk"], r["part"]): class_lm._classes(chunks.pa.table(chunks.opened(r["data"], kinds)), units) for r in rows}
+        return answers, kinds, table, types
+
+    words = {}
+    known = class_lm.chunks.chunked
+
+    def keys(docs, number, parts, chars, exchanged):
+        cut = known(docs, number, parts, chars, exchanged)
+        for r in cut.collect():
+            if r["part"] >= 0:
+                words[r["chunk"], r["part"]] = chunks.opened(r["data"], chunks.KEYS)["key"].to_pylist()
+        return cut
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(class_lm, "placed", spy)
+        patch.setattr(class_lm.chunks, "chunked", keys)
+        got = {r["doc_id"]: r["score"] for r in class_lm.score(docs.coalesce(1), frequent=6, classes=4, parts=3).collect()}
+    of = {w: int(c) for cell, some in words.items() for w, c in zip(some, placed["of"][cell], strict=True)}
+    lines = [class_lm.words(t) for t in texts]
+    table, counts = np.zeros((4, 4)), collections.Counter()
+    for i, line in enumerate(lines):
+        if i % 4:
+            counts.update(line)
+            for a, b in zip([class_lm.END, *line], line, strict=False):
+                table[of[a], of[b]] += 1
+    types = np.zeros(4)
+    for w in counts:
+        types[of[w]] += 1
+    usual = (table.sum(0) + 1) / (table.sum() + 4)
+    moves = (table + 4 * usual) / (table.sum(1, keepdims=True) + 4)
+    room = table.sum(0) + types + 1
+    for i, line in enumerate(lines):
+        want = sum(math.log10(moves[of[a], of[b]]) + math.log10((counts[b] + 1) / room[of[b]]) for a, b in zip([class_lm.END, *line], line, strict=False))
+        assert abs(got[i] - want) < 1e-6
+
+
+def test_kneser_ney_against_dictionaries(spark, corpus):
+    texts = texts_of(corpus)[:40]
+    docs = spark.createDataFrame([(i, t, i % 3 > 0) for i, t in texts], "doc_id long, text string, learn boolean")
+    line = lambda t: [kneser_ney.START, kneser_ney.START, *map(ord, t or ""), kneser_ney.STOP]
+    three = collections.Counter(tuple(line(t)[i : i + 3]) for n, t in texts if n % 3 for i in range(len(line(t)) - 2))
+    two = collections.Counter(g[1:] for g in three)
+    one = collections.Counter(g[1:] for g in two)
+
+    def discounts(level):
+        n = [sum(c == i for c in level.values()) for i in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [min(i, max(0.05, i - (i + 1) * y * b / a)) if a else 0.5 * i for i, a, b in ((1, n[0], n[1]), (2, n[1], n[2]), (3, n[2], n[3]))]
+
+    def shares(level):
+        d = discounts(level)
+        total, freed, off = collections.Counter(), collections.Counter(), {}
+        for g, c in level.items():
+            off[g] = d[min(c, 3) - 1]
+            total[g[:-1]] += c
+            freed[g[:-1]] += off[g]
+        return {g: max(c - off[g], 0) / total[g[:-1]] for g, c in level.items()}, {c: freed[c] / total[c] for c in total}
+
+    (s3, r3), (s2, r2), (s1, r1) = shares(three), shares(two), shares(one)
+
+    def probability(g):
+        p1 = s1.get(g[2:], 0) + r1[()] / (len(one) + 1)
+        p2 = s2.get(g[1:], 0) + r2.get(g[1:2], 1) * p1
+        return s3.get(g, 0) + r3.get(g[:2], 1) * p2
+
+    got = {r["doc_id"]: r["perplexity"] for r in kneser_ney.perplexities(docs, parts=3, chunk_chars=500).collect()}
+    for i, t in texts:
+        grams = [tuple(line(t)[j : j + 3]) for j in range(len(line(t)) - 2)]
+        want = 10 ** -(sum(math.log10(probability(g)) for g in grams) / len(grams))
+        assert abs(got[i] / want - 1) < 1e-6
+
+
+def test_language_choice_against_plain_compression(spark, corpus):
+    import zstandard
+
+    learned = {"de": b"der die das und nicht ein eine " * 40, "en": b"alpha beta gamma the and of with text " * 40}
+    rows = corpus.select("doc_id", "text").union(spark.createDataFrame([(900, "das ist nicht der text"), (901, "x" * 9000)], "doc_id long, text string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(rows, learned).collect()}
+    for i, text in texts_of(rows):
+        data = re.sub(r"[\W\d_]+", " ", text).lower().encode()
+        sizes = {}
+        for lang, content in learned.items():
+            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held.precompute_compress(level=language.LEVEL)
+            press = zstandard.ZstdCompressor(dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(press.compress(data[j : j + language.PIECE_BYTES])) for j in range(0, len(data), language.PIECE_BYTES))
+        assert got[i] == min(sizes, key=lambda x: (sizes[x], x))
+
+
+def test_raking_tells_how_far_it_is_off(spark):
+    cells = spark.createDataFrame([("=a", "=x", 10), ("=b", "=y", 10)], "s string, k string, tokens long")
+    named = lambda a, b, x, y: {"s": spark.createDataFrame([("=a", a), ("=b", b)], "value string, share double"), "k": spark.createDataFrame([("=x", x), ("=y", y)], "value string, share double")}
+    assert mixing.rake(cells, named(0.3, 0.7, 0.3, 0.7)).first()["residual"] <= mixing.TOLERANCE
+    # No weights meet both margins, as each source has one kind only.
+    assert mixing.rake(cells, named(0.3, 0.7, 0.6, 0.4)).first()["residual"] > 0.1
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["tokens", "topic", "place", "row", "row_key", "id_key", "text_key", "number", "component", corpus_pipeline.ROW + "2"]
+    rows = [(*r, *[f"{c}{i}" for c in names]) for i, r in enumerate([*ODD, (60, "one more text that nothing else here is like", "en", "a")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in names))
+    for stage in (corpus_pipeline.exact_copies, corpus_pipeline.near_copies, corpus_pipeline.mixture):
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns and kept.exceptAll(docs).isEmpty() and kept.count() > 0
+        assert stage(spark, docs.limit(0), "").columns == docs.columns and stage(spark, docs.limit(0), "").count() == 0
+    folder = "/root/testdata/sf0.001"
+    kept = corpus_pipeline.clean(spark, docs, folder)
+    assert kept.columns == docs.columns and as_counts(kept) == as_counts(docs) and corpus_pipeline.clean(spark, docs.limit(0), folder).count() == 0
+    encoded = corpus_pipeline.encoding(spark, docs, folder)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in encoded.collect()) == sorted((r[0] or 0, r[1] or "") for r in rows)
+    assert corpus_pipeline.encoding(spark, docs.limit(0), folder).count() == 0
