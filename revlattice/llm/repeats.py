@@ -20,17 +20,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlattice.llm import chunks
-from revlattice.llm.common import groups_for, small_batches, written
+from revlattice.llm.common import dropped, groups_for, shuffles_dropped, small_batches, written
 
 WIDTH, GRAM = 100, 40
 #: A chunk of documents, the windows hashed at once, and the phrases of a bucket.
-CHUNK_BYTES, SLICE, BUCKET_PHRASES = 4_000_000, 1 << 20, 10_000
+CHUNK_BYTES, SLICE, BUCKET_PHRASES = 4_000_000, 1 << 15, 10_000
+#: Phrases of an index, or a few more as those of one anchor stay together.
+INDEXED = 300
 #: Anchors with more different phrases than this are compared window by window.
 CROWDED = 2_000
 #: A place is a chunk's number and an offset of 31 bits in it; a chunk's number is its task's and one of 14 bits.
 OFFSET_BITS, CHUNK_BITS = 31, 14
 PLACED = "chunk long, data binary"
-PHRASES = "anchor long, h1 long, h2 int, place long"
+PHRASES = "anchor long, h1 long, h2 long, place long"
+#: The second hash of a phrase holds its number of windows, less one, in its last bits.
+WINDOW_BITS = 8
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
 
@@ -77,6 +81,8 @@ def _least(keys: np.ndarray, span: int) -> np.ndarray:
 
 def phrases(data: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> Phrases:
     """The phrases of documents of ``lengths`` bytes that ``data`` (uint8) holds one after another."""
+    if not 0 <= width - gram < 1 << WINDOW_BITS:
+        raise ValueError("a gram must be at most as long as a window, and not much shorter")
     codes, powers, inverse = _tables(width)
     ends = np.repeat(np.cumsum(lengths), lengths)
     found = []
@@ -94,8 +100,9 @@ def phrases(data: np.ndarray, lengths: np.ndarray, width: int = WIDTH, gram: int
         # A phrase ends before the next one or before the first window that is none.
         borders = np.flatnonzero(~joins)
         windows = np.append(borders[1:], len(least))[np.searchsorted(borders, starts)] - starts
-        hashes = [(s[starts + windows + width - 1] - s[starts]) * i[starts] for s, i in zip(sums, inverse, strict=True)]
-        found.append((starts + begin, windows, grams[least[starts]], *(_mixed(h + windows.astype(np.uint64)) for h in hashes)))
+        sizes = windows.astype(np.uint64)
+        h1, h2 = (_mixed((s[starts + windows + width - 1] - s[starts]) * i[starts] + sizes) for s, i in zip(sums, inverse, strict=True))
+        found.append((starts + begin, windows, grams[least[starts]], h1, (h2 << np.uint64(WINDOW_BITS)) | (sizes - np.uint64(1))))
     if not found:
         none = np.zeros(0, dtype=np.uint64)
         return Phrases(none.astype(np.int64), none.astype(np.int64), none, none, none)
@@ -147,18 +154,14 @@ def _opened(data: bytes) -> tuple[pa.Array, list[bytes], np.ndarray, np.ndarray]
     return chunks.flat(table.column("doc_id")), texts, np.array([len(t) for t in texts], dtype=np.int64), np.frombuffer(b"".join(texts), dtype=np.uint8)
 
 
-def _distinct(found: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """The first phrase of each content, and for every phrase whether it is such."""
-    order = np.lexsort((found.start, found.h2, found.h1))
+def _contents(found: Phrases) -> tuple[np.ndarray, np.ndarray]:
+    """The first phrase of each content, and for every phrase the number of its content."""
+    order = np.argsort(found.h1, kind="stable")
     new = np.ones(len(order), dtype=bool)
     new[1:] = (found.h1[order][1:] != found.h1[order][:-1]) | (found.h2[order][1:] != found.h2[order][:-1])
-    first = np.zeros(len(order), dtype=bool)
-    first[order[new]] = True
-    return order[new], first
-
-
-def _short(h2: np.ndarray) -> np.ndarray:
-    return (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
@@ -167,16 +170,16 @@ def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
 
 def distinct_phrases(placed: DataFrame, width: int, gram: int) -> DataFrame:
     """(anchor, h1, h2, place): every chunk's different phrases, each at its first place in the chunk."""
-    schema = pa.schema([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int32()), ("place", pa.int64())])
+    schema = pa.schema([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 _, _, lengths, held = _opened(data)
                 found = phrases(held, lengths, width, gram)
-                kept, _ = _distinct(found)
+                kept, _ = _contents(found)
                 if len(kept):
-                    columns = [found.anchor[kept].view(np.int64), found.h1[kept].view(np.int64), _short(found.h2[kept]), found.start[kept] + (chunk << OFFSET_BITS)]
+                    columns = [*(x[kept].view(np.int64) for x in (found.anchor, found.h1, found.h2)), found.start[kept] + (chunk << OFFSET_BITS)]
                     yield _batch(columns, schema)
 
     return placed.mapInArrow(run, PHRASES)
@@ -186,22 +189,19 @@ def _chunk(place: str = "place"):
     return F.shiftright(place, OFFSET_BITS)
 
 
-def _texts_of(placed: DataFrame, wanted: DataFrame, width: int, gram: int) -> DataFrame:
-    """(anchor, place, text) of the phrases at the places of ``wanted`` (anchor, place)."""
+def _texts_of(placed: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(anchor, place, text) of the phrases in ``wanted`` (anchor, place, windows)."""
+    schema = pa.schema([("anchor", pa.int64()), ("place", pa.int64()), ("text", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("anchor", pa.int64()), ("place", pa.int64()), ("text", pa.binary())])
         if not len(right):
             return schema.empty_table()
-        _, _, lengths, held = _opened(left.column("data")[0].as_py())
-        found, chunk = phrases(held, lengths, width, gram), left.column("chunk")[0].as_py()
-        places = right.column("place").to_numpy()
-        at = np.searchsorted(found.start, places - (chunk << OFFSET_BITS))
-        raw = held.tobytes()
-        texts = [raw[s : s + n + width - 1] for s, n in zip(found.start[at].tolist(), found.windows[at].tolist(), strict=True)]
+        raw, chunk = _opened(left.column("data")[0].as_py())[3].tobytes(), left.column("chunk")[0].as_py()
+        places, windows = right.column("place").to_numpy(), right.column("windows").to_numpy()
+        texts = [raw[s : s + n + width - 1] for s, n in zip((places - (chunk << OFFSET_BITS)).tolist(), windows.tolist(), strict=True)]
         return pa.table([chunks.flat(right.column("anchor")), pa.array(places), pa.array(texts, pa.binary())], schema=schema)
 
-    asked = wanted.select(_chunk().alias("chunk"), "anchor", "place").groupBy("chunk")
+    asked = wanted.select(_chunk().alias("chunk"), "anchor", "place", "windows").groupBy("chunk")
     return placed.groupBy("chunk").cogroup(asked).applyInArrow(run, "anchor long, place long, text binary")
 
 
@@ -212,11 +212,13 @@ def suffixes(symbols: np.ndarray, end: np.ndarray, depth: int) -> np.ndarray:
     for step in range(width):
         packed = (packed << 9) | symbols[np.minimum(here + step, end)]
     while True:
-        order = np.argsort(packed, kind="stable")
+        order = np.argsort(packed)
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.cumsum(np.diff(packed[order], prepend=packed[order[:1]]) != 0)
-        if width >= depth or rank[order[-1]] == len(order) - 1:
+        if rank[order[-1]] == len(order) - 1:
             return order
+        if width >= depth:
+            return np.argsort(rank * len(order) + here)
         packed = rank * len(order) + rank[np.minimum(here + width, end)]
         width *= 2
 
@@ -310,13 +312,22 @@ def _in_buckets(texts: DataFrame, buckets: int, width: int) -> DataFrame:
     """(place): every window in the phrases of ``texts`` (anchor, place, text) that an earlier phrase of its bucket holds."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("place")
-        places = rows.column("place").to_numpy()
-        found = repeated(rows.column("text").to_pylist(), width)
-        return pa.table({"place": pa.array(np.repeat(places, [len(x) for x in found]) + np.concatenate(found), pa.int64())})
+        rows = rows.sort_by([("anchor", "ascending"), ("place", "ascending")])
+        anchors, places, texts = rows.column("anchor").to_numpy(), rows.column("place").to_numpy(), rows.column("text").to_pylist()
+        # Phrases of different anchors share no window: an index over some anchors is as good as one over all, and stays small.
+        borders = np.append(np.flatnonzero(np.diff(anchors, prepend=anchors[0] - 1)), len(anchors))
+        late, begin = [np.zeros(0, np.int64)], 0
+        for end in borders[1:].tolist():
+            if end - begin < INDEXED and end < len(anchors):
+                continue
+            order = np.argsort(places[begin:end]) + begin
+            found = repeated([texts[i] for i in order], width)
+            late.append(np.repeat(places[order], [len(x) for x in found]) + np.concatenate(found))
+            begin = end
+        return pa.table({"place": pa.array(np.concatenate(late), pa.int64())})
 
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket")
-    return texts.select(bucket, "place", "text").groupBy("bucket").applyInArrow(run, "place long")
+    return texts.select(bucket, "anchor", "place", "text").groupBy("bucket").applyInArrow(run, "place long")
 
 
 def _by_window(texts: DataFrame, width: int) -> DataFrame:
@@ -336,7 +347,8 @@ def _by_window(texts: DataFrame, width: int) -> DataFrame:
 
     windows = texts.select("place", "text").mapInArrow(cut, "digest binary, place long")
     first = windows.groupBy("digest").agg(F.min("place").alias("place"))
-    return windows.join(first, "place", "left_anti").select("place")
+    # As many rows as there are different windows: sorted and merged, never sent to all.
+    return windows.join(first.hint("merge"), "place", "left_anti").select("place")
 
 
 def _spans(marked: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -353,35 +365,45 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowded: int
     A byte goes if a string of ``width`` bytes that covers it also starts earlier: in a document with a smaller doc_id, or
     earlier in the same one. Rows without doc_id come last; rows that share one go by the MD5 of their text, so of equal rows
     one keeps its bytes. Null and empty texts have no bytes; matches never cross texts. No rows give no rows. Equality of
-    phrases is that of 96 bits of two hashes, and that of windows inside a bucket is exact.
+    phrases is that of 120 bits of two hashes and their length, and that of windows inside a bucket is exact.
     """
-    placed = in_order(docs, chunk_bytes)
-    told = distinct_phrases(placed, width, gram)
-    met = told.withColumn("copy", F.col("place") > F.min("place").over(Window.partitionBy("h1", "h2")))
-    # Copies need their content, the others their anchor.
-    met = written(met.select("copy", F.when(F.col("copy"), F.col("h1")).otherwise(F.col("anchor")).alias("key"), F.when(F.col("copy"), F.col("h2")).alias("h2"), "place"), "phrases")
-    single = met.filter("NOT copy").select(F.col("key").alias("anchor"), "place")
-    shared = single.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    wanted = written(single.join(shared, "anchor").select("anchor", "place", (F.col("n") > crowded).alias("crowd")), "wanted")
-    buckets = groups_for(wanted.filter("NOT crowd").count(), bucket_phrases)
-    texts = written(_texts_of(placed, wanted.filter("NOT crowd"), width, gram), "texts")
-    crowds = written(_texts_of(placed, wanted.filter("crowd"), width, gram), "crowds")
+    # The shuffles of a stage go when its table is written, so that the stages take the disk of one.
+    with shuffles_dropped(docs.sparkSession):
+        placed = in_order(docs, chunk_bytes)
+        told = distinct_phrases(placed, width, gram)
+        met = told.withColumn("copy", F.col("place") > F.min("place").over(Window.partitionBy("h1", "h2")))
+        windows = (F.col("h2").bitwiseAND((1 << WINDOW_BITS) - 1) + 1).cast("int")
+        met = met.select("copy", F.when(~F.col("copy"), F.col("anchor")).alias("anchor"), F.when(~F.col("copy"), windows).alias("windows"), "place")
+        met = written(met, "phrases")
+        single = met.filter("NOT copy").select("anchor", "windows", "place")
+        shared = single.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        wanted = written(single.join(shared, "anchor").select("anchor", "place", "windows", (F.col("n") > crowded).alias("crowd")), "wanted")
+        buckets = groups_for(wanted.filter("NOT crowd").count(), bucket_phrases)
+        texts = written(_texts_of(placed, wanted.filter("NOT crowd"), width), "texts")
+        crowds = written(_texts_of(placed, wanted.filter("crowd"), width), "crowds")
+        dropped(wanted)
     marks = _in_buckets(texts, buckets, width).unionByName(_by_window(crowds, width))
-    facts = met.filter("copy").select(_chunk().alias("chunk"), F.col("key").alias("a"), "h2").unionByName(marks.select(_chunk().alias("chunk"), F.col("place").alias("a"), F.lit(None).cast("int").alias("h2")))
+    with shuffles_dropped(docs.sparkSession):
+        marks = written(marks, "marks")
+        for table in (texts, crowds):
+            dropped(table)
+    facts = [f.select(_chunk().alias("chunk"), "place", F.lit(copy).alias("copy")) for f, copy in ((met.filter("copy"), True), (marks, False))]
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = left.column("chunk")[0].as_py()
         ids, texts, lengths, held = _opened(left.column("data")[0].as_py())
         found = phrases(held, lengths, width, gram)
-        _, first = _distinct(found)
-        copied = right.filter(right.column("h2").is_valid())
-        code = lambda h1, h2: (h1.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ h2.astype(np.int64).view(np.uint64)
-        seen = np.isin(code(found.h1, _short(found.h2)), code(copied.column("a").to_numpy().view(np.uint64), copied.column("h2").to_numpy().astype(np.int32)))
-        whole = np.flatnonzero(~first | seen)
+        first, number = _contents(found)
+        place, copy = right.column("place").to_numpy() - (chunk << OFFSET_BITS), right.column("copy").to_numpy(zero_copy_only=False).astype(bool)
+        # A content that an earlier chunk holds is late in all its places, any other in all but its first.
+        late = np.ones(len(number), dtype=bool)
+        late[first] = False
+        seen = np.zeros(len(first), dtype=bool)
+        seen[number[np.searchsorted(found.start, place[copy])]] = True
+        whole = np.flatnonzero(late | seen[number])
         runs = found.windows[whole]
-        late = np.repeat(found.start[whole] - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum()) if len(whole) else np.zeros(0, np.int64)
-        own = right.filter(right.column("h2").is_null()).column("a").to_numpy() - (chunk << OFFSET_BITS)
-        late = np.unique(np.concatenate((late, own)))
+        begins = np.repeat(found.start[whole] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
+        late = np.unique(np.concatenate((begins, place[~copy])))
         bases = np.concatenate(([0], np.cumsum(lengths)))
         borders = np.searchsorted(late, bases)
         rows = []
@@ -395,4 +417,4 @@ def removed(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowded: int
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"doc_id": ids, "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
 
-    return placed.groupBy("chunk").cogroup(facts.groupBy("chunk")).applyInArrow(finish, RESULT)
+    return placed.groupBy("chunk").cogroup(facts[0].unionByName(facts[1]).groupBy("chunk")).applyInArrow(finish, RESULT)
