@@ -62,7 +62,7 @@ def test_collocations(spark, shards):
     names = [rng.choice("αbcdéf") + str(i) for i in range(12)]
     rows = [(" ".join(rng.choice(names[: rng.choice([3, 12])]) + rng.choice(["", "", "", ".", ","]) for _ in range(rng.randrange(40))), rng.choice(["x", "y"])) for _ in range(120)]
     rows += ODD * 2
-    got = collocations.collocations(frame(spark, rows).repartition(5), first=25, least=4, shards=shards, chunk_bytes=700)
+    got = collocations.collocations(frame(spark, rows).repartition(5), first=25, least=4, shards=shards, chunk_bytes=700, parts=3)
     assert sorted(map(tuple, got.collect())) == brute(rows, 25, 4)
 
 
