@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from revlattice.llm.common import groups_for, small_batches
 
-CHUNK_CHARS = 5_000_000
+CHUNK_CHARS = 9_000_000
 #: Characters of the corpus for each part, and the fewest parts.
 PART_CHARS, PARTS = 64_000_000, 64
 #: ``digest`` tells one reading of a chunk from another: it is that of all its keys in turn.
