@@ -22,6 +22,8 @@ from revlattice.llm import chunks
 from revlattice.llm.common import dropped, shuffles_dropped, written
 
 FREQUENT, ENDINGS, CLASSES, SWEEPS = 1000, 256, 48, 8
+#: Characters of a chunk: words go between chunks and parts in every round, and larger chunks repeat fewer of them.
+CHUNK_CHARS = 16_000_000
 #: Rounds over all words end when one gains less than this many nats a token, or at the number of rounds.
 ROUNDS, GAIN = 8, 0.005
 #: Most words exchanged against one state of the table, and the counts whose terms are looked up.
@@ -342,7 +344,7 @@ def placed(texts: DataFrame, answers: DataFrame, assigned: np.ndarray, types: np
 
 
 def score(
-    docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, parts: int | None = None, chunk_chars: int = chunks.CHUNK_CHARS, rounds: int = ROUNDS
+    docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, parts: int | None = None, chunk_chars: int = CHUNK_CHARS, rounds: int = ROUNDS
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, learn): counts, the unigram base and the class model's score.
 
