@@ -349,6 +349,27 @@ def test_top_k(spark):
     assert topk.top_k(frame.limit(0), frame).count() == 0 and topk.top_k(frame, frame.limit(0)).count() == 0
 
 
+def test_top_k_leaves_out_cells_below_the_floor(spark):
+    rng = random.Random(9)
+    centres = [[rng.choice([-200, 200]) for _ in range(8)] for _ in range(12)]
+    rows = [(i, [c + rng.randint(-9, 9) for c in centres[i % 12]]) for i in range(1800)]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    asked = frame.filter("vec_id % 50 = 0")
+    want = []
+    for q, v in rows[::50]:
+        best = sorted((-sum(a * b for a, b in zip(v, c, strict=True)), i) for i, c in rows if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    for pivots in (1, 24):
+        assert sorted(map(tuple, topk.top_k(frame, asked, block=40, query_block=3, pivots=pivots).collect())) == sorted(want)
+    dealt, cells = topk.in_cells(frame, 8, 24)
+    assert dealt.count() == cells.rows.sum() == len(rows)
+    floors = {q: s for q, n, _, s in want if n == 5}
+    known = spark.createDataFrame([(q, v, floors[q]) for q, v in rows[::50]], "vec_id long, vector array<long>, floor long")
+    at = {(r["vec_id"], r["cell"]) for r in topk.reached(known, cells).collect()}
+    homes = {r["vec_id"]: r["cell"] for r in dealt.collect()}
+    assert {(q, homes[i]) for q, _, i, _ in want} <= at and len(at) < len(floors) * len(cells.number) / 2
+
+
 def test_mixing_meets_its_targets(spark, odd, none, corpus):
     weighed = corpus.withColumn("tokens", mixing.tokens("text")).withColumn("kind", F.when(F.col("doc_id") % 5 > 0, F.lit("k")))
     rows = mixing.mixed(weighed, ["source", "kind"], {"source": 0.0, "kind": 0.5}).join(weighed.select("doc_id", "source", "kind"), "doc_id")
