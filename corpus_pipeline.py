@@ -14,6 +14,8 @@ from revlattice.llm.queries import POWERS, RANKS, toxicity_field, with_topic
 
 #: The mixture keeps about this share of the tokens.
 KEPT_TOKENS = 0.8
+#: Characters of a chunk in the last stage, which runs in workers that earlier stages have filled.
+ENCODING_CHARS = 5_000_000
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -88,7 +90,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text that they decode to; null and empty texts have no ids and decode to empty."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN, chunk_chars=ENCODING_CHARS), ranks)
     return decoded.selectExpr("doc_id", "cast(size(ids) as long) AS n_tokens", "ids", "decode(decoded, 'UTF-8') AS text")
 
 
