@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revlattice.functions.dates import add_months, month_of, months_apart
 from revlattice.functions.measures import count, divide, highest, summarise, total
 from revlattice.operators.intervals import compress_runs, latest_before, valid_on
-from revlattice.plans.marts import account_mrr_monthly, subscription_monthly, support_monthly
+from revlattice.plans.marts import account_mrr_monthly, item_extent, subscription_monthly, support_monthly
 
 # Scoring weights, band limits and payment terms.
 HEALTH_WEIGHTS = {"usage_score": 0.50, "support_score": 0.15, "payment_score": 0.20, "relationship_score": 0.15}
@@ -290,8 +290,9 @@ def renewal_schedule(t, as_of: Column) -> DataFrame:
         )
         .withColumn("due_month", month_of("renewal_due_date"))
     )
-    monthly = subscription_monthly(t).select("subscription_id", "month_start", "mrr_eur")
-    known = latest_before(due, monthly, "subscription_id", "due_month", "month_start", "mrr_eur")
+    item_months = item_extent(t).item_months
+    monthly = subscription_monthly(t, item_months).select("subscription_id", "month_start", "mrr_eur")
+    known = latest_before(due, monthly, "subscription_id", "due_month", "month_start", "mrr_eur", item_months + due.count())
     return known.select(
         "subscription_id",
         "renewal_due_date",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import subscribed
 from revlattice.functions.normal import two_sided_p
+from revlattice.operators import intervals
 from revlattice.operators.intervals import compress_runs, latest_before, overlapping_pairs, valid_on
 from revlattice.plans import acquisition, billing, derive, experiments, quality, reports
 
@@ -202,6 +203,16 @@ def test_renewals_stop_at_the_end_and_use_the_month_known_by_then(tables):
     assert got == [(D(2021, 1, 15), 120), (D(2022, 1, 15), 360)]
 
 
+def test_tasks_of_renewals_follow_their_rows(tables, monkeypatch):
+    monkeypatch.setattr(intervals, "TASK_ROWS", 100)
+    rows = subscribed([(f"a{i:02}", "2015-01-01", "2024-12-31", 10 + i) for i in range(40)])
+    for subscription in rows["subscriptions"]:
+        subscription["billing_frequency"] = "annual"
+    due = derive.renewal_schedule(tables(**rows), F.lit("2024-12-31").cast("date"))
+    held = [r["count"] for r in due.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 164 and len(held) > 16
+
+
 def test_bands(spark):
     one = lambda column: spark.range(1).select(column.alias("v")).collect()[0]["v"]
     lit = F.lit

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import subscribed
+from revlattice.operators import intervals
 from revlattice.operators.ranking import rank_in_slices, top_shares
-from revlattice.plans import executive, marts, reports, revenue
+from revlattice.plans import derive, executive, marts, reports, revenue
 
 D = dt.date
 
@@ -36,6 +37,34 @@ def test_item_months_touch_whole_months_and_both_items_of_a_month_count(tables):
     assert monthly == {D(2023, 12, 1): Decimal(10), D(2024, 1, 1): Decimal(15)}
 
 
+def held_by_tasks(frame):
+    """Rows of each task that returns any."""
+    return [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_tasks_follow_the_months_that_items_expand_to(tables, monkeypatch):
+    monkeypatch.setattr(intervals, "TASK_ROWS", 100)
+    t = tables(**subscribed([(f"a{i:02}", "2015-01-01", "2024-12-31", 10 + i) for i in range(40)]))
+    history = [F.lit(d).cast("date") for d in ("2000-01-01", "2024-12-01")]
+    for build, rows_in_all in (
+        (reports.mrr_snapshot, 4800),
+        (marts.subscription_monthly, 4800),
+        (marts.account_mrr_monthly, 4800),
+        (marts.mrr_movements, 4800),
+        (lambda t: marts.account_grid(t, "usage", "support", "payments", "health"), 4800),
+        (lambda t: reports.account_mrr_movements(t, *history), 12000),
+        (derive.compress_to_effective_dates, 40),
+    ):
+        held = held_by_tasks(build(t))
+        assert sum(held) == rows_in_all and len(held) > 16 and max(held) < rows_in_all / 8
+
+
+def test_extent_counts_months_of_valid_items(tables):
+    t = tables(**subscribed([("a", "2023-12-31", "2024-01-01", 10), ("b", "2024-03-01", "2024-02-01", 5), ("c", "2024-05-05", "2024-05-05", 1)]))
+    assert marts.item_extent(t) == (3, 6)
+    assert marts.item_extent(tables()) == (0, 0) and marts.mrr_movements(tables()).count() == 0
+
+
 def test_grid_fills_every_account_and_month(tables):
     t = tables(**subscribed([("a", "2024-01-01", "2024-01-31", 1), ("b", "2024-04-01", "2024-04-30", 2)]))
     grid = rows(marts.account_mrr_complete(t), "account_id", "month_start", F.col("mrr_eur").cast("int"))
