@@ -19,7 +19,8 @@ from revlattice.llm import chunks
 from revlattice.llm.common import written
 
 CHUNK_CHARS = 2_500_000
-SAMPLE = 20_000
+#: Ids that share a cell differ in so many bits only.
+CELL_BITS = 10
 QUANTILE, SLACK = 0.99, 1.1
 ACCURACY = 10_000
 #: A symbol has 21 bits; two numbers past the last code point begin and end a text.
@@ -142,19 +143,28 @@ def perplexities(docs: DataFrame, parts: int | None = None, chunk_chars: int = C
     return chunks.reassembled(texts, answers, finish, "doc_id long, perplexity double", {"score": pa.float64()})
 
 
-def classified(docs: DataFrame, trusted: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(doc_id, text, learn) of every row; ``trusted`` has distinct ids.
+
+    Texts do not move to meet their flag: every trusted id travels to them, two bytes each in the cell of its neighbours.
+    """
+    cell, place = F.shiftright("doc_id", CELL_BITS), F.col("doc_id").bitwiseAND((1 << CELL_BITS) - 1).cast("short")
+    cells = trusted.groupBy(cell.alias("cell")).agg(F.collect_list(place).alias("places"))
+    met = docs.select("doc_id", "text", cell.alias("cell"), place.alias("place")).join(F.broadcast(cells), "cell", "left")
+    return met.select("doc_id", "text", F.coalesce(F.array_contains("places", F.col("place")), F.lit(False)).alias("learn"))
+
+
+def classified(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang): perplexity, threshold, score in 0..1, kept.
 
-    ``trusted`` (doc_id) names the trusted texts. The model is fitted on a bounded sample of them, the ``sample`` with the
-    smallest id hash; thresholds come from all. The threshold of a language is ``slack`` times the ``quantile`` of its
-    trusted texts' perplexities; a language without trusted texts, and a null one, takes that of all trusted texts.
-    Documents above it are rejected. Without any trusted text there is no threshold and all stay. ``score`` falls from 1
-    with the perplexity and is 0.5 at the threshold. Rows that repeat a doc_id are scored one by one, with one language.
+    ``trusted`` (doc_id) names the trusted texts. The model is fitted on all of them, and so are the thresholds: that of a
+    language is ``slack`` times the ``quantile`` of its trusted texts' perplexities; a language without trusted texts, and a
+    null one, takes that of all trusted texts. Documents above it are rejected. Without any trusted text there is no
+    threshold and all stay. ``score`` falls from 1 with the perplexity and is 0.5 at the threshold. Rows that repeat a doc_id
+    are scored one by one, with one language.
     """
-    trusted = trusted.dropna().select("doc_id", F.lit(True).alias("trusted")).distinct()
-    # At most ``sample`` ids, so the texts need not move to meet them.
-    chosen = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.lit(True).alias("learn"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
+    trusted = trusted.dropna().select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("trusted")).distinct()
+    texts = marked(docs.withColumn("doc_id", F.col("doc_id").cast("long")), trusted)
     scored = written(perplexities(texts), "perplexities")
     facts = docs.groupBy("doc_id").agg(F.max("lang").alias("lang"))
     joined = scored.alias("s").join(facts.alias("f"), F.col("s.doc_id").eqNullSafe(F.col("f.doc_id"))).select("s.doc_id", "s.perplexity", "f.lang")

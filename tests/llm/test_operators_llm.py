@@ -316,6 +316,16 @@ def test_kneser_ney(spark, odd, none, corpus):
     assert kneser_ney.classified(none, trusted).count() == 0
 
 
+def test_kneser_ney_learns_from_every_trusted_text(spark, monkeypatch):
+    texts = F.concat(F.lit("text "), F.col("id").cast("string"))
+    docs = spark.range(-200, 20_900).select(F.col("id").alias("doc_id"), texts.alias("text"), F.lit("en").alias("lang"))
+    trusted = docs.filter("doc_id % 50 <> 7").select("doc_id").unionByName(spark.createDataFrame([(1,), (1 << 62,), (None,)], "doc_id long"))
+    score, learned = kneser_ney.perplexities, []
+    monkeypatch.setattr(kneser_ney, "perplexities", lambda d: learned.append({r[0] for r in d.filter("learn").select("doc_id").collect()}) or score(d))
+    assert kneser_ney.classified(docs, trusted).count() == 21_100
+    assert learned == [{i for i in range(-200, 20_900) if math.fmod(i, 50) != 7}]
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     gram = lambda a, b, c: (a << 42) | (b << 21) | c
     rng = random.Random(4)
