@@ -74,6 +74,21 @@ def test_overlap_matches_brute_force(spark):
     assert got == want
 
 
+def test_overlap_leaves_rows_without_a_partner_behind(spark):
+    # Intervals of 60 years that follow each other, and three that overlap around the end of a year; b comes twice.
+    rows = [(f"r{i}", "k", D(1000 + 60 * i, 1, 1), D(1059 + 60 * i, 12, 31)) for i in range(5)]
+    pair = [("a", "l", D(2023, 11, 5), D(2025, 2, 1)), ("b", "l", D(2024, 12, 31), D(2024, 12, 31)), ("b", "l", D(2024, 12, 31), D(2024, 12, 31))]
+    rows += [*pair, ("c", "l", D(2025, 1, 1), D(2025, 1, 1)), ("d", None, D(2023, 1, 1), D(2025, 1, 1)), ("e", None, D(2023, 1, 1), D(2025, 1, 1))]
+    frame = spark.createDataFrame(rows, "id string, k string, s date, e date")
+    pairs = overlapping_pairs(frame, "id", ["k"], "s", "e", keep=("k", "s"))
+    got = sorted((r["left_id"], r["right_id"], r["k"], r["s"]) for r in pairs.collect())
+    assert got == [("a", "b", "l", D(2023, 11, 5))] * 2 + [("a", "c", "l", D(2023, 11, 5))]
+    plan = pairs._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    assert "ReusedExchange" in plan
+    # Months of 60 years do not move for rows that meet no other.
+    assert overlapping_pairs(frame.where("k = 'k'"), "id", ["k"], "s", "e").count() == 0
+
+
 def test_as_of_takes_the_due_month_and_falls_back_to_the_first_value(spark):
     history = spark.createDataFrame([("s", D(2024, 3, 1), 10), ("s", D(2024, 5, 1), 20)], "k string, m date, v int")
     points = spark.createDataFrame([("s", D(2024, m, 1), m) for m in (1, 3, 4, 5, 9)], "k string, at date, n int")
