@@ -31,6 +31,29 @@ def test_a_clean_set_of_tables_gives_531_checks(texts):
     assert results.count() == 531
 
 
+def test_validation_runs_part_by_part_and_leaves_no_shuffle_files(spark, texts):
+    import time
+    from pathlib import Path
+
+    t = texts(
+        accounts=[{"account_id": "a"}, {"account_id": "a"}, {"account_id": "b"}],
+        subscriptions=[{"subscription_id": "s", "account_id": "b"}, {"subscription_id": "t", "account_id": "x"}, {"subscription_id": None, "account_id": None}],
+        invoices=[{"invoice_id": "i", "account_id": "x", "subscription_id": "t"}, {"invoice_id": "j", "account_id": "a", "subscription_id": "y"}],
+    )
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {p.name for d in local for p in Path(str(d)).glob("*/shuffle_*.data")}
+    before = files()
+    results = quality.validate(t)
+    for _ in range(50):
+        if left := files() - before:
+            time.sleep(0.2)
+    assert not left
+    got = {r["check_id"]: tuple(r) for r in results.collect()}
+    parts = (quality.column_checks, quality.primary_key_checks, quality.foreign_key_checks, quality.business_rule_checks, quality.invoice_line_checks, quality.payment_attempt_checks)
+    assert got == {r["check_id"]: tuple(r) for part in parts for r in part(t).select(*quality.CHECK_COLUMNS).collect()}
+    assert results.count() == len(got) and got["invoices.fk_1"][5] == got["invoices.fk_2"][5] == 1
+
+
 @pytest.mark.parametrize("table", list(CONTRACTS))
 def test_references_point_at_single_keys(table):
     for column, parent in references_of(table):
